@@ -41,3 +41,15 @@ def score_to_band(score: Column) -> Column:
             .when(score <= BAND_LOW_MAX, F.lit(BANDS[0]))
             .when(score <= BAND_MEDIUM_MAX, F.lit(BANDS[1]))
             .otherwise(F.lit(BANDS[2])))
+
+
+# ----------------------------------------------------------------------------------
+# FIXED second demonstration model (for model comparison): lateness count only.
+# p = 1 / (1 + exp(-(-2.5 + 1.0*delinquency_count)))
+# ----------------------------------------------------------------------------------
+LATE_INTERCEPT = -2.5
+LATE_COEF = 1.0
+
+
+def late_only_probability() -> Column:
+    return F.round(sigmoid(F.lit(LATE_INTERCEPT) + F.lit(LATE_COEF) * F.col("delinquency_count")), 4)

@@ -5,15 +5,18 @@ holding a third of all rows would then be one task over a third of the data. Her
 rows are instead range-partitioned on the full sort key ``(key, order...)``: the range
 boundaries come from a sample of that composite key, so a hot key is cut into many
 contiguous pieces spread over many tasks. Each task computes the lags inside its
-sorted piece with a vectorised pandas ``groupby().shift``.
+sorted piece with a vectorised pandas ``groupby().shift`` and also emits its last
+``k`` rows as "tail" copies.
 
-Only the first ``k`` rows of the first key of a partition can have predecessors in an
-earlier partition. Those rows, together with the last ``k`` rows of every partition,
-form a side table of at most ``2 * k * numPartitions`` rows -- bounded by the
-partition count, not by the data -- on which a plain window fills the missing lags.
-The corrections are broadcast back (size proven by that bound) and coalesced in.
-Both branches read the same range exchange (Spark reuses it), so the data is
-shuffled once.
+The piece output is materialised once with a reliable checkpoint (shared
+``spark.checkpoint.dir``): a sampled range partitioning is not reproducible between
+executions, and every consumer below must see the same pieces.
+
+Only the first ``k`` rows of the first key of a piece can have predecessors in an
+earlier piece. Those rows, together with the tails of all pieces, form a side table
+of at most ``2 * k * numPartitions`` rows -- bounded by the partition count, not by
+the data -- on which a plain window fills the missing lags. The corrections are
+broadcast back (size proven by that bound) and coalesced in.
 """
 
 from __future__ import annotations
@@ -23,7 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_KIND = "_seq_kind"   # 1 = partition tail row, 2 = head row that may need a fix
+from ledgerscope.session import checkpoint_dir
+
+_KIND = "_seq_kind"     # 0 = row, 1 = tail copy
+_HEAD = "_seq_head"     # row may need predecessors from an earlier piece
 
 
 def lag_within_group(df: DataFrame, key: str, order: list[str], values: list[str], k: int,
@@ -39,46 +45,44 @@ def lag_within_group(df: DataFrame, key: str, order: list[str], values: list[str
     in_fields = df.schema.fields
     by_name = {f.name: f for f in in_fields}
     col_names = [f.name for f in in_fields]
-    main_schema = T.StructType(
-        list(in_fields) + [T.StructField(f"{v}_lag{j}", by_name[v].dataType, True)
-                           for j in range(1, k + 1) for v in values])
-    side_schema = T.StructType(list(in_fields) + [T.StructField(_KIND, T.IntegerType(), False)])
+    out_schema = T.StructType(
+        list(in_fields)
+        + [T.StructField(f"{v}_lag{j}", by_name[v].dataType, True)
+           for j in range(1, k + 1) for v in values]
+        + [T.StructField(_KIND, T.IntegerType(), False), T.StructField(_HEAD, T.BooleanType(), False)])
 
     def lag_piece(batches):
+        from pyspark import TaskContext
         frames = [b for b in batches if len(b)]
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True)   # sorted by (key, order)
-        shifted = [pdf.groupby(key, sort=False)[values].shift(j) for j in range(1, k + 1)]
-        for j, s in enumerate(shifted, start=1):
+        grp = pdf.groupby(key, sort=False)
+        for j in range(1, k + 1):
+            shifted = grp[values].shift(j)
             for v in values:
-                pdf[f"{v}_lag{j}"] = s[v]
-        yield pdf
-
-    def edge_rows(batches):
-        from pyspark import TaskContext
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        tail = pdf.tail(k).assign(**{_KIND: 1})
-        parts = [tail]
-        if TaskContext.get().partitionId() > 0:
-            first = pdf[key].iloc[0]
-            head = pdf.head(k)
-            parts.append(head[head[key] == first].assign(**{_KIND: 2}))
-        yield pd.concat(parts, ignore_index=True)
+                pdf[f"{v}_lag{j}"] = shifted[v]
+        first_piece = TaskContext.get().partitionId() == 0
+        pdf[_HEAD] = ((pdf[key] == pdf[key].iloc[0]) & (grp.cumcount() < k)
+                      & (not first_piece))
+        pdf[_KIND] = 0
+        tail = pdf.tail(k).assign(**{_KIND: 1, _HEAD: False})
+        yield pd.concat([pdf, tail], ignore_index=True)
 
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    main = ranged.mapInPandas(lag_piece, main_schema)
-    edges = ranged.mapInPandas(edge_rows, side_schema)
+    checkpoint_dir(spark)
+    pieces = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+              .mapInPandas(lag_piece, out_schema)
+              .checkpoint(eager=True))
 
+    rows = pieces.where(F.col(_KIND) == 0)
+    side = (pieces.where((F.col(_KIND) == 1) | F.col(_HEAD)).select(*col_names, _HEAD)
+            .groupBy(*sort_cols)
+            .agg(*[F.first(c).alias(c) for c in col_names if c not in sort_cols],
+                 F.max(F.col(_HEAD).cast("int")).alias(_HEAD)))
     w = Window.partitionBy(key).orderBy(*order)
-    side = edges.select(*col_names).dropDuplicates(sort_cols)
-    fixed = side.select(*sort_cols, *[F.lag(v, j).over(w).alias(f"{v}_lag{j}__fix")
-                                      for j in range(1, k + 1) for v in values])
-    heads = edges.where(F.col(_KIND) == 2).select(*sort_cols).dropDuplicates()
-    fixed = fixed.join(heads, sort_cols, "left_semi")
-    joined = main.join(F.broadcast(fixed), sort_cols, "left")
+    fixed = (side.select(*sort_cols, _HEAD, *[F.lag(v, j).over(w).alias(f"{v}_lag{j}__fix")
+                                              for j in range(1, k + 1) for v in values])
+             .where(F.col(_HEAD) == 1).drop(_HEAD))
+    joined = rows.join(F.broadcast(fixed), sort_cols, "left")
     return joined.select(*[F.col(c) for c in col_names],
                          *[F.coalesce(F.col(f"{c}__fix"), F.col(c)).alias(c) for c in lag_names])
