@@ -70,7 +70,7 @@ class ScalerModel:
 
 
 def scaler_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Long table (column, mean, std) in ONE aggregate pass over the data.
+    """Long table (column_name, mean, std) in ONE aggregate pass over the data.
 
     ``stddev_pop`` (ddof 0) with NULLs skipped; a zero std becomes 1 so constant
     columns pass through centred. The aggregate is partial+final: each task sends
@@ -83,8 +83,8 @@ def scaler_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                  F.stddev_pop(F.col(c).cast("double")).alias(f"s__{c}")]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `m__{c}`, `s__{c}`" for c in cols)
-    long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, mean, std)")
-    return long.select("column", "mean",
+    long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, mean, std)")
+    return long.select("column_name", "mean",
                        F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("std"))
 
 
@@ -94,8 +94,8 @@ def fit_scaler(df: DataFrame, columns: list[str] | None = None) -> ScalerModel:
     rows = scaler_stats(df, cols).collect()
     m = ScalerModel(cols)
     for r in rows:
-        m.means[r["column"]] = r["mean"]
-        m.stds[r["column"]] = r["std"]
+        m.means[r["column_name"]] = r["mean"]
+        m.stds[r["column_name"]] = r["std"]
     return m
 
 

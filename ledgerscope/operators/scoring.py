@@ -11,7 +11,7 @@ from ledgerscope.functions.scoring import (demo_probability, probability_to_scor
                                            score_to_band)
 from ledgerscope.operators.features import add_derived_features
 from ledgerscope.operators.prep import clean_raw
-from ledgerscope.schema import BANDS, DEFAULT_THRESHOLD, ID_COL
+from ledgerscope.schema import BANDS, DEFAULT_THRESHOLD
 
 Predictor = Callable[[DataFrame], DataFrame]   # adds a double column "p"
 
@@ -75,13 +75,3 @@ def band_summary(scored: DataFrame) -> DataFrame:
         F.col("n_records").cast("bigint").alias("n_records"),
         F.round(F.try_divide(F.col("n_records") * 100.0, F.col("_n")), 6).alias("pct"),
         F.round(F.col("_avg"), 6).alias("avg_default_probability"))
-
-
-def extreme_rows(scored: DataFrame, p_col: str = "p", key: str = ID_COL) -> DataFrame:
-    """Highest- and lowest-probability rows (ties: smallest key) without a sort."""
-    s = F.struct(F.col(p_col), (-F.col(key)).alias("_neg_key"), F.col(key).alias("_k"))
-    lo = F.struct((-F.col(p_col)).alias("_neg_p"), (-F.col(key)).alias("_neg_key"),
-                  F.col(key).alias("_k"), F.col(p_col).alias("_p"))
-    agg = scored.agg(F.max(s).alias("hi"), F.max(lo).alias("lo"))
-    return agg.selectExpr(
-        "stack(2, 'highest', hi._k, hi.p, 'lowest', lo._k, lo._p) AS (which, ID, p)")

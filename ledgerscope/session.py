@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # wide feature projections under filters make constraint inference explode
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
