@@ -1 +1,57 @@
-"""Queries (filled in below)."""
+"""Queries: Structured Streaming scoring and monitoring (T1-T3), checked against the
+same aggregation in batch SQL, plus the model report table (D5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerscope.plans import oracle_sql as O
+from ledgerscope.plans.queries import register, sql
+from ledgerscope.sources.credit import DRIFT_CUTOFF
+from ledgerscope.streaming import scoring as S
+
+d = O.d
+LATEST = """ccust AS (SELECT o_orderkey AS ID, o_custkey AS CUSTOMER_ID FROM orders),
+lat AS (SELECT * FROM (
+  SELECT s.*, c.CUSTOMER_ID,
+         ROW_NUMBER() OVER (PARTITION BY c.CUSTOMER_ID ORDER BY s.AS_OF DESC, s.ID DESC) AS rn
+  FROM scored s JOIN ccust c USING (ID)) WHERE rn = 1),
+req AS (SELECT e.event_id, e.ts, e.user_id, l.ID AS snapshot_id, l.default_probability, l.risk_score, l.risk_band
+        FROM events e JOIN lat l ON e.user_id = l.CUSTOMER_ID)"""
+
+
+@register("stream_score", sql(*O.BASE, LATEST, body="SELECT * FROM req"))
+def q_stream_score(spark, sf):
+    out = S.stream_score(spark, sf)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_band_counts", sql(*O.BASE, LATEST, body="""
+SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, risk_band, COUNT(*) AS n_requests
+FROM req GROUP BY 1, 2"""))
+def q_stream_band_counts(spark, sf):
+    return S.stream_band_counts(spark, sf)
+
+
+_BIN = " + ".join(f"CASE WHEN risk_score >= {e} THEN 1 ELSE 0 END" for e in S.SCORE_BIN_EDGES)
+SHIFT = f"""wk AS (SELECT DATE '1970-01-01' + CAST(FLOOR(epoch(ts) / 604800) * 7 AS INTEGER) AS window_start,
+                 ({_BIN}) AS bin FROM req),
+wc AS (SELECT window_start, bin, COUNT(*) AS c FROM wk GROUP BY 1, 2),
+rh AS (SELECT ({_BIN}) AS bin, COUNT(*) AS r FROM scored WHERE AS_OF < DATE '{DRIFT_CUTOFF.isoformat()}' GROUP BY 1),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 10)),
+dense AS (SELECT w.window_start, b.bin FROM (SELECT DISTINCT window_start FROM wc) w CROSS JOIN bins b),
+jj AS (SELECT dense.window_start, dense.bin, COALESCE(wc.c, 0) AS c, COALESCE(rh.r, 0) AS r
+       FROM dense LEFT JOIN wc USING (window_start, bin) LEFT JOIN rh USING (bin)),
+tt AS (SELECT window_start, SUM(c) AS nc FROM jj GROUP BY 1),
+nr AS (SELECT SUM(r) AS nr FROM rh),
+wpsi AS (SELECT jj.window_start, MAX(tt.nc) AS n_requests,
+                SUM(((CAST(c AS DOUBLE) / tt.nc + {d(1e-6)}) - (CAST(r AS DOUBLE) / nr.nr + {d(1e-6)}))
+                    * LN((CAST(c AS DOUBLE) / tt.nc + {d(1e-6)}) / (CAST(r AS DOUBLE) / nr.nr + {d(1e-6)}))) AS psi
+         FROM jj JOIN tt USING (window_start) CROSS JOIN nr WHERE c > 0 OR r > 0 GROUP BY jj.window_start)"""
+
+
+@register("stream_score_shift", sql(*O.BASE, LATEST, SHIFT, body="""
+SELECT window_start, CAST(n_requests AS BIGINT) AS n_requests, ROUND(psi, 4) AS psi, ROUND(psi, 4) > 0.2 AS shifted
+FROM wpsi"""))
+def q_stream_score_shift(spark, sf):
+    return S.stream_score_shift(spark, sf)

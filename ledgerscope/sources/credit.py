@@ -13,7 +13,7 @@ deterministic function of the order key whose rate rises with lateness.
 Plan shape: lineitem is pre-aggregated per order (partial + final hash aggregate, so
 the lineitem shuffle carries one row per order per map task), joined to orders on
 the order key, then the month lags are taken in a window over the customer's orders.
-Skewed customers are handled in ``lag_months`` (see there). The customer table is
+Skewed customers are handled by ``operators.sequence.lag_within_group``. The customer table is
 joined last; Spark broadcasts it only when its size estimate is under the
 broadcast threshold, otherwise sort-merge.
 """
@@ -79,9 +79,10 @@ def _label(id_col: str = "ID") -> F.Column:
     return F.when((F.col(id_col) * LABEL_MULTIPLIER) % 100 < rate, 1).otherwise(0).cast("int")
 
 
-def credit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credit_all(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> DataFrame:
     """Every snapshot, including those with fewer than six months of history (older
-    months NULL). This is the 'dirty' variant used by missing-value checks."""
+    months NULL). This is the 'dirty' variant used by missing-value checks.
+    ``keep_customer`` adds the account owner key CUSTOMER_ID."""
     snaps = _snapshots(spark, sf_dir)
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     j = snaps.join(cust, snaps.o_custkey == cust.c_custkey, "inner")
@@ -94,12 +95,23 @@ def credit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             (21 + F.col("c_custkey") % 54).cast("int").alias("AGE")]
     cols += [F.col(c) for c in PAY_STATUS_COLS + BILL_COLS + PAY_AMT_COLS]
     cols.append(_label().alias(TARGET))
+    if keep_customer:
+        cols.append(F.col("c_custkey").alias("CUSTOMER_ID"))
     return j.select(*cols)
 
 
-def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credit(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> DataFrame:
     """Snapshots with a full six months of history (the training table)."""
-    return credit_all(spark, sf_dir).where(F.col("BILL_AMT6").isNotNull())
+    return credit_all(spark, sf_dir, keep_customer).where(F.col("BILL_AMT6").isNotNull())
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's most recent full snapshot (latest AS_OF, then highest ID):
+    one max_by aggregate per customer (partial aggregation, no window)."""
+    c = credit(spark, sf_dir, keep_customer=True)
+    cols = [x for x in c.columns if x != "CUSTOMER_ID"]
+    best = F.max_by(F.struct(*cols), F.struct("AS_OF", "ID"))
+    return c.groupBy("CUSTOMER_ID").agg(best.alias("s")).select("CUSTOMER_ID", "s.*")
 
 
 def credit_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
