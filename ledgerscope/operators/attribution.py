@@ -49,10 +49,11 @@ def top_drivers(df: DataFrame, col: str = "attributions", n: int = TOP_DRIVERS,
                 out: str = "top_drivers") -> DataFrame:
     """Top ``n`` by |shap_value| (ties keep feature order), values rounded to 4,
     direction 'increases_risk' iff shap_value > 0."""
-    ranked = F.array_sort(F.col(col), lambda a, b: F.when(
-        F.abs(a["shap_value"]) > F.abs(b["shap_value"]), -1).when(
-        F.abs(a["shap_value"]) < F.abs(b["shap_value"]), 1).when(
-        a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0))
+    # natural struct ordering (-|phi|, position) sorts without a comparator lambda
+    keyed = F.transform(F.col(col), lambda s: F.struct(
+        (-F.abs(s["shap_value"])).alias("k"), s["pos"].alias("pos"), s["feature"].alias("feature"),
+        s["shap_value"].alias("shap_value"), s["feature_value"].alias("feature_value")))
+    ranked = F.sort_array(keyed, asc=True)
     top = F.slice(ranked, 1, n)
     return df.withColumn(out, F.transform(top, lambda s: F.struct(
         s["feature"].alias("feature"), F.round(s["shap_value"], 4).alias("shap_value"),

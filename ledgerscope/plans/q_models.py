@@ -1 +1,13 @@
-"""Queries (filled in below)."""
+"""Queries over trained models (rows-only checks; properties are tested in pytest)."""
+
+from __future__ import annotations
+
+from ledgerscope.plans.queries import credit, register
+from ledgerscope.plans.train import train
+
+
+@register("train_and_compare")
+def q_train_and_compare(spark, sf):
+    """Full training job on the credit table: balanced logistic, boosted trees with
+    the original preset, isotonic-calibrated booster; test-split comparison table."""
+    return train(credit(spark, sf)).comparison
