@@ -187,3 +187,93 @@ def q_extreme_customers(spark, sf):
 
 
 DER = DERIVED_COLS
+
+
+# ------------------------------------------------------------ report (D5) and alerts (Z3)
+def _report_parts(spark, sf):
+    from ledgerscope.operators import drift as D
+    from ledgerscope.operators import metrics as M
+    from ledgerscope.plans.q_drift import FEATS, _sides
+    from ledgerscope.plans.q_eval import eval_frame
+    cmp = M.compare_models(M.compute_metrics(eval_frame(spark, sf), ["model"]))
+    imp = A.global_importance(_attr_frame(spark, sf))
+    ref, cur = _sides(spark, sf)
+    rep = D.drift_report(ref, cur, FEATS)
+    return cmp, imp, rep
+
+
+@register("report_table")
+def q_report_table(spark, sf):
+    from ledgerscope.operators import drift as D
+    cmp, imp, rep = _report_parts(spark, sf)
+    metrics = cmp.unpivot(["model"], ["roc_auc", "pr_auc", "brier_score", "f1", "recall", "precision"],
+                          "metric", "value").select(F.lit("metrics").alias("section"),
+                                                    F.col("model").alias("item"), "metric", "value")
+    top = imp.orderBy(F.desc("mean_abs_shap"), "feature").limit(10).select(
+        F.lit("importance").alias("section"), F.col("feature").alias("item"),
+        F.lit("mean_abs_shap").alias("metric"), F.round("mean_abs_shap", 4).alias("value"))
+    summ = D.drift_summary(rep).select(
+        F.col("n_features_checked").cast("double").alias("a"), F.col("n_drifted").cast("double").alias("b"),
+        F.col("drift_rate").cast("double").alias("c")).selectExpr(
+        "stack(3, 'n_features_checked', a, 'n_drifted', b, 'drift_rate', c) AS (metric, value)").select(
+        F.lit("drift").alias("section"), F.lit("all").alias("item"), "metric", "value")
+    return metrics.unionByName(top).unionByName(summ)
+
+
+@register("monitoring_alerts")
+def q_monitoring_alerts(spark, sf):
+    from ledgerscope.operators import drift as D
+    from ledgerscope.operators import metrics as M
+    from ledgerscope.plans.q_eval import eval_frame
+    from ledgerscope.sources.credit import DRIFT_CUTOFF
+    _, imp, rep = _report_parts(spark, sf)
+    ev = eval_frame(spark, sf).where(F.col("model") == "demo").join(
+        credit(spark, sf).select("ID", "AS_OF"), "ID")
+    auc_ref = M.roc_auc(ev.where(F.col("AS_OF") < F.lit(DRIFT_CUTOFF)))
+    auc_cur = M.roc_auc(ev.where(F.col("AS_OF") >= F.lit(DRIFT_CUTOFF)))
+    return round_doubles(D.monitoring_alerts(rep, imp, auc_ref, auc_cur))
+
+
+def _report_sql() -> tuple[str, str]:
+    from ledgerscope.plans import q_drift as QD
+    from ledgerscope.plans import q_eval as QE
+    ctes = [O.CREDIT_ALL, O.clean_cte(), O.feat_cte(), QE.EV, QE.CV, QE.AUC, QE.AP, QE.BR, QE.TM,
+            SPLIT, STATS, SCALED, ATTR, QD.SIDES, QD.KS, QD._psi_sql(), QD.REPORT]
+    base = ", ".join(c.strip() for c in ctes)
+    mets = " UNION ALL ".join(
+        f"SELECT 'metrics' AS section, model AS item, '{m}' AS metric, ROUND({m}, 4) AS value "
+        f"FROM auc JOIN ap USING (model) JOIN br USING (model) JOIN tm USING (model)"
+        for m in ["roc_auc", "pr_auc", "brier_score", "f1", "recall", "precision"])
+    report = (f"WITH {base}\n{mets}\nUNION ALL\n"
+              "SELECT 'importance', feature, 'mean_abs_shap', ROUND(m, 4) FROM ("
+              "SELECT feature, AVG(ABS(shap_value)) AS m FROM attr GROUP BY feature ORDER BY m DESC, feature LIMIT 10)\n"
+              "UNION ALL SELECT 'drift', 'all', 'n_features_checked', CAST(COUNT(*) AS DOUBLE) FROM rep\n"
+              "UNION ALL SELECT 'drift', 'all', 'n_drifted', CAST(COUNT(*) FILTER (WHERE drifted) AS DOUBLE) FROM rep\n"
+              "UNION ALL SELECT 'drift', 'all', 'drift_rate', "
+              "ROUND(CAST(COUNT(*) FILTER (WHERE drifted) AS DOUBLE) / GREATEST(COUNT(*), 1), 3) FROM rep")
+    cut = QD.CUT
+    alerts = (f"WITH {base},\n"
+              "top5 AS (SELECT feature FROM (SELECT feature, AVG(ABS(shap_value)) AS m FROM attr GROUP BY feature) "
+              "ORDER BY m DESC, feature LIMIT 5),\n"
+              f"evd AS (SELECT ev.y, ev.p, c.AS_OF FROM ev JOIN credit c USING (ID) WHERE ev.model = 'demo'),\n"
+              f"cvp AS (SELECT CASE WHEN AS_OF < DATE '{cut}' THEN 'ref' ELSE 'cur' END AS period, p, "
+              "COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y <> 1) AS neg "
+              "FROM evd WHERE p IS NOT NULL GROUP BY 1, 2),\n"
+              "aucp AS (SELECT period, SUM(pos * (cum_neg - neg + CAST(neg AS DOUBLE) / 2)) "
+              "/ (CAST(SUM(pos) AS DOUBLE) * SUM(neg)) AS auc FROM ("
+              "SELECT *, SUM(neg) OVER (PARTITION BY period ORDER BY p) AS cum_neg FROM cvp) GROUP BY period)\n"
+              "SELECT 'psi_top_feature' AS alert, feature, ROUND(psi, 6) AS value FROM rep "
+              "WHERE feature IN (SELECT feature FROM top5) AND psi > 0.2\n"
+              "UNION ALL SELECT 'auc_drop', CAST(NULL AS VARCHAR), ROUND(r.auc - c.auc, 6) "
+              "FROM aucp r, aucp c WHERE r.period = 'ref' AND c.period = 'cur' AND r.auc - c.auc > 0.03")
+    return report, alerts
+
+
+def _register_report_sql() -> None:
+    from ledgerscope.plans.queries import _SQL
+    report, alerts = _report_sql()
+    _SQL["report_table"] = report
+    _SQL["monitoring_alerts"] = alerts
+
+
+_register_report_sql()
