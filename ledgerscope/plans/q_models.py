@@ -11,3 +11,20 @@ def q_train_and_compare(spark, sf):
     """Full training job on the credit table: balanced logistic, boosted trees with
     the original preset, isotonic-calibrated booster; test-split comparison table."""
     return train(credit(spark, sf)).comparison
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf):
+    """Exact TreeSHAP of the trained booster (uncalibrated margin) over the WHOLE test
+    split (no sampling); global mean |attribution| per feature."""
+    from pyspark.sql import functions as F
+
+    from ledgerscope.operators import prep, treeshap
+    from ledgerscope.operators.attribution import global_importance
+    from ledgerscope.operators.features import add_derived_features
+    res = train(credit(spark, sf))
+    b = res.booster
+    feats = add_derived_features(prep.clean_raw(credit(spark, sf), keep_id=True))
+    test = prep.stratified_split(feats).where(F.col("split") == "test")
+    shap = treeshap.tree_attributions(b.scaler.transform(test), b.model, b.features, ["ID"])
+    return global_importance(treeshap.as_attribution_array(shap, b.features)).drop("pos")

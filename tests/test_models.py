@@ -52,3 +52,24 @@ def test_sigmoid_calibration_monotone(spark, raw_df):
     out = cal.apply(df).select("p_raw", "p").distinct().orderBy("p_raw").collect()
     ps = [r.p for r in out]
     assert ps == sorted(ps) or ps == sorted(ps, reverse=True)
+
+
+def test_treeshap_additivity_and_dummy_features(trained, raw_df):
+    from pyspark.ml.functions import vector_to_array
+
+    from ledgerscope.operators import treeshap
+    from ledgerscope.operators.features import add_derived_features
+    from ledgerscope.operators.models import assemble
+    from ledgerscope.operators.prep import clean_raw
+    b = trained.booster
+    x = b.scaler.transform(add_derived_features(clean_raw(raw_df, keep_id=True)))
+    shap = treeshap.tree_attributions(x, b.model, b.features, ["ID"]).toPandas().set_index("ID")
+    raw = (b.model.transform(assemble(x, b.features))
+           .select("ID", (2 * vector_to_array("rawPrediction")[1]).alias("m")).toPandas().set_index("ID"))
+    phis = shap[[f"phi_{f}" for f in b.features]].sum(axis=1)
+    assert ((shap["base_value"] + phis - raw.loc[shap.index, "m"]).abs() < 1e-9).all()
+    assert ((shap["margin"] - raw.loc[shap.index, "m"]).abs() < 1e-9).all()
+    used = set(int(i) for i in b.model.featureImportances.indices)
+    for j, f in enumerate(b.features):
+        if j not in used:
+            assert (shap[f"phi_{f}"].abs() < 1e-12).all()
