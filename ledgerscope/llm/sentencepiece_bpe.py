@@ -56,6 +56,7 @@ class PieceModel:
         # rank: order of merging. A better score merges first.
         self.rank = {i: r for r, i in enumerate(sorted(plain, key=lambda i: (-sp.get_score(i), i)))}
         self.id_of = {self.pieces[i]: i for i in plain}
+        self.size = [len(p) for p in self.pieces]
         self.marks_cut = not any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in plain)
         # the last merge inside each piece; pieces that merging never builds are left out
         self.split: dict[int, tuple[int, int] | None] = {}
@@ -76,9 +77,31 @@ class PieceModel:
                 if j in self.split:
                     self.shorter[i] = j
                     break
-        self.pair: dict[tuple[int, int], int] = {}
+        # for every path in the trie, the longest piece that begins it
+        self.best: dict[str, int] = {}
+        for i in sorted(self.split, key=lambda i: len(self.pieces[i])):
+            s = self.pieces[i]
+            for k in range(1, len(s) + 1):
+                j = self.id_of.get(s[:k])
+                if j in self.split:
+                    last = j
+                    self.best[s[:k]] = j
+                elif k > 1:
+                    self.best[s[:k]] = last
+        self.chars = frozenset(c for c in self.id_of if len(c) == 1)
+        self.bytes_of = [self._bytes(i) for i in range(n)]
+        self.text_of = [str(i) for i in range(n)]
+        self.pair: dict[int, bool] = {}
         self.store: dict[str, tuple] = {}
 
+    def _bytes(self, i: int) -> bytes:
+        """Bytes of an id: a mark is a blank, a byte piece its byte, a control id nothing."""
+        if i in self.byte_of:
+            return bytes([self.byte_of[i]])
+        if i == self.unk:
+            return " ⁇ ".encode()
+        return b"" if i in self.control else self.pieces[i].replace(MARK, " ").encode("utf-8", "surrogatepass")
+
     def _last_merge(self, s: str):
         """The two ids whose merge completes s when s is merged by itself; () for one
         character; None if merging s does not end in s."""
@@ -105,10 +128,7 @@ class PieceModel:
         the pieces that then face each other must not have merged with each other earlier
         than the merge undone last took one of them away (among equal ranks the left
         position goes first)."""
-        known = self.pair.get((a, b))
-        if known is not None:
-            return known == 1
-        key, limit, ok = (a, b), float("inf"), True
+        limit, ok = float("inf"), True
         while True:
             r = self.joined(a, b)
             if r is not None and r < limit:
@@ -123,60 +143,48 @@ class PieceModel:
                 limit, a = ra, sa[1]
             else:              # equal ranks: the left one came first, so b is undone first
                 limit, b = rb + 0.5, sb[0]
-        if len(self.pair) > 2_000_000:
-            self.pair.clear()
-        self.pair[key] = 1 if ok else 0
         return ok
 
-    def _longest(self, s: str, at: int) -> int | None:
-        """The longest piece that begins at a position: the trie's deepest path, then back
-        along shorter beginnings to a piece."""
-        k = self.trie.longest_prefix(s[at:at + 64])
-        for end in range(k, 0, -1):
-            i = self.id_of.get(s[at:at + end])
-            if i in self.split:
-                return i
-        return None
-
     def encode_known(self, s: str) -> list[int]:
         """Ids of a run of characters that all have pieces."""
         n, at, out = len(s), 0, []
-        failed = bytearray((n + 8) // 8)
-        token = self._longest(s, 0)
+        failed = bytearray((n + 8) // 8)            # a bit for each position with no way on
+        deepest, best, size, pair = self.trie.longest_prefix, self.best, self.size, self.pair
+        token = best[s[:deepest(s)]]
         while at < n:
-            while True:
-                end = at + len(self.pieces[token])
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.compatible(out[-1], token)):
-                    out.append(token)
-                    at = end
-                    token = self._longest(s, at) if at < n else None
-                    break
-                nxt = self.shorter.get(token)
-                if nxt is not None:
-                    token = nxt
-                    continue
-                failed[at >> 3] |= 1 << (at & 7)     # no way on from here
+            end = at + size[token]
+            fits = not failed[end >> 3] >> (end & 7) & 1
+            if fits and out:
+                key = out[-1] << 20 | token
+                fits = pair.get(key)
+                if fits is None:
+                    if len(pair) > 1_000_000:
+                        pair.clear()
+                    fits = pair[key] = self.compatible(out[-1], token)
+            if fits:
+                out.append(token)
+                at = end
+                if at < n:
+                    rest = s[at:at + 64]
+                    token = best[rest[:deepest(rest)]]
+                continue
+            token = self.shorter.get(token)
+            while token is None:                     # back to the position before
+                failed[at >> 3] |= 1 << (at & 7)
                 if not out:
                     raise ValueError("no segmentation")
                 token = out.pop()
-                at -= len(self.pieces[token])
-                # go on with a shorter piece at the earlier position
-                failed_here = token
-                token = self.shorter.get(failed_here)
-                while token is None:
-                    failed[at >> 3] |= 1 << (at & 7)
-                    if not out:
-                        raise ValueError("no segmentation")
-                    failed_here = out.pop()
-                    at -= len(self.pieces[failed_here])
-                    token = self.shorter.get(failed_here)
+                at -= size[token]
+                token = self.shorter.get(token)
         return out
 
     def encode_unit(self, s: str) -> list[int]:
+        if self.chars.issuperset(s):
+            return self.encode_known(s)
         out, at, n = [], 0, len(s)
         while at < n:
             end = at
-            while end < n and s[end] in self.id_of:
+            while end < n and s[end] in self.chars:
                 end += 1
             if end > at:
                 out += self.encode_known(s[at:end])
@@ -199,12 +207,12 @@ class PieceModel:
         s = MARK + text.replace(" ", MARK)
         return UNIT.findall(s) if self.marks_cut else [s]
 
-    def unit(self, u: str) -> tuple[list[int], int, str, bytes]:
-        """(ids, their count, ids as text, decoded bytes) of one unit."""
+    def unit(self, u: str) -> tuple[tuple[int, ...], str, bytes]:
+        """(ids, ids as text, decoded bytes) of one unit."""
         got = self.store.get(u)
         if got is None:
             ids = self.encode_unit(u)
-            got = (ids, len(ids), " ".join(map(str, ids)), self.raw(ids))
+            got = (tuple(ids), " ".join([self.text_of[i] for i in ids]), self.raw(ids))
             if len(u) <= 200:
                 if len(self.store) >= KEEP_UNITS:
                     self.store.clear()
@@ -212,16 +220,7 @@ class PieceModel:
         return got
 
     def raw(self, ids: list[int]) -> bytes:
-        """Bytes of ids: marks are blanks, byte pieces are bytes, control ids are nothing."""
-        out = []
-        for i in ids:
-            if i in self.byte_of:
-                out.append(bytes([self.byte_of[i]]))
-            elif i == self.unk:
-                out.append(" ⁇ ".encode())
-            elif i not in self.control:
-                out.append(self.pieces[i].replace(MARK, " ").encode("utf-8", "surrogatepass"))
-        return b"".join(out)
+        return b"".join([self.bytes_of[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; the mark put in front goes, broken bytes become U+FFFD each."""
@@ -266,13 +265,13 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
         m = model(model_path)
         for batch in batches:
             n, hid, hdec = [], [], []
+            known, end = m.store.get, f" {m.eos}".encode()
             for i in range(batch.num_rows):
-                units = [m.unit(u) for u in m.units(batch.column(1)[i].as_py())]
-                n.append(sum(u[1] for u in units) + 1)
-                hid.append(hashlib.sha256(" ".join([u[2] for u in units] + [str(m.eos)]).encode()).hexdigest())
-                raw = b"".join([u[3] for u in units])
-                raw = raw[1:] if units else raw       # the mark put in front
-                hdec.append(hashlib.sha256(raw).hexdigest())
+                units = [known(u) or m.unit(u) for u in m.units(batch.column(1)[i].as_py())]
+                ids, text, raw = zip(*units, strict=True) if units else ((), (), ())
+                n.append(sum(map(len, ids)) + 1)
+                hid.append(hashlib.sha256(" ".join(text).encode() + end if units else end[1:]).hexdigest())
+                hdec.append(hashlib.sha256(b"".join(raw)[1:]).hexdigest())     # without the mark put in front
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hid, pa.string()), pa.array(hdec, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
