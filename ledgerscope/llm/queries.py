@@ -38,6 +38,26 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@register("op1_ordinal_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import ordinal_quality as Q
+    docs = table(spark, sf_dir, "documents")
+    blob = Q.fit(Q.rated_sample(docs, Q.grades(table(spark, sf_dir, "labels"))), "doc_id", "text", "grade")
+    return Q.predict(docs, blob).select("doc_id", "expected_grade", "tail_prob", F.col("grade_probs")[0].alias("p_toxic"), "kept")
+
+
+@register("op2_boosted_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import url_filter as U
+    return U.judge(table(spark, sf_dir, "pages"))
+
+
+@register("op3_cross_document_lines")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import line_rules as R
+    return R.line_quality(table(spark, sf_dir, "documents"))
+
+
 @register("op4_winnowing_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm import decontaminate as D
@@ -64,7 +84,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.near_groups(table(spark, sf_dir, "documents"))
 
 
+@register("op8_sampled_splitters")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import sharding as S
+    return S.shard(table(spark, sf_dir, "documents"))
+
+
 @register("op9_backtracking_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm import sentencepiece_bpe as S
     return S.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+@register("op10_chat_hmm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import chat_hmm as C
+    got = C.parse(table(spark, sf_dir, "conversations"))
+    return got.select("conv_id", "turn", "role", "role_pred", "n_turns", "rendered")
