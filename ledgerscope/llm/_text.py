@@ -17,7 +17,7 @@ BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 STEP = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
 BASE = U(0x9E3779B97F4A7C15)
 INVERSE = U(pow(int(BASE), -1, 2**64))
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -32,7 +32,7 @@ from ledgerscope.llm import _text as X
 from ledgerscope.llm._shared import ship
 
 DIM = 1 << 16
-BLOCK = 8 << 20
+BLOCK = 5 << 20
 #: bytes of words: letters and everything beyond ASCII
 LETTERS = X.class_table([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 UND = "und"
