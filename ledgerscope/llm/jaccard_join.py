@@ -17,8 +17,9 @@ No group emits all its pairs. Exact copies are one node. First every member of a
 compared with one leader of the list, then, in further rounds, with the leader of a small
 random part of it; each round looks only at pairs from different components of the links
 found so far. After that the pairs from different components that still share a key are
-verified, all of them, so no link between components is lost. Only components are
-reported, so pairs inside one need no check.
+verified. All pairs are first held against parity bitmaps, which drop only those that
+differ in more bits than two linked sets can differ in tokens; so no link between components is lost. Only components
+are reported, so pairs inside one need no check.
 
 Skew: keys of frequent tokens are salted by document; lists are reduced per key with
 map-side minima; AQE splits the joins that carry rows to leaders. The table of frequent
@@ -47,8 +48,11 @@ SHINGLE = 5
 NUM, DEN = 3, 4                 # similarity of 3/4
 FREQUENT_SHARE = 1 << 20        # a token is frequent from a share of 1 / 2**20 of all tokens
 FREQUENT_LEAST = 16
-COUNT_TOKENS = 4 << 20          # tokens counted together in a task before they are emitted
+COUNT_TOKENS = 2 << 20          # tokens counted together in a task before they are emitted
 SALTS = 64
+BITS = 1024                     # of a set's parity bitmap at least
+BEFORE = 8                      # keys before a posting by which a later meeting of a pair is left out
+BROADCAST_IDS = 500_000         # ids (8 bytes each) that may be broadcast
 
 
 # ------------------------------------------------------------------ sets
@@ -72,6 +76,31 @@ def signature(s: np.ndarray) -> tuple[int, int]:
         return (int(a.sum(dtype=np.uint64).view(np.int64)), int(b.sum(dtype=np.uint64).view(np.int64)))
 
 
+def parity(s: np.ndarray, bits: int) -> np.ndarray:
+    """Bytes of a bitmap: bit k is the parity of the number of tokens that hash to k. Two
+    sets' bitmaps differ in no more bits than the sets differ in tokens."""
+    odd = np.bincount((X.mix(s + X.STEP[55]) & X.U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def wide_parity(s: np.ndarray) -> bytes:
+    """A bitmap of at least four bits a token."""
+    return parity(s, max(BITS, 1 << (4 * len(s) - 1).bit_length())).tobytes() if len(s) else b""
+
+
+def may_link(x: bytes, y: bytes, n: int, m: int) -> bool:
+    """False if the bitmaps rule out that sets of n and m tokens link. The hash is taken
+    modulo the size, so folding a bitmap's halves gives the bitmap of half the size."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        if len(a) > len(b):
+            a = a[:len(a) // 2] ^ a[len(a) // 2:]
+        else:
+            b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    need = -(-NUM * (n + m) // (NUM + DEN))
+    return int(np.bitwise_count(a ^ b).sum()) <= n + m - 2 * need
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """100 * intersection >= 75 * union, for sorted distinct arrays."""
     if len(a) > len(b):
@@ -83,9 +112,9 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """kind 0: (id, set size, signature); kind 1: (token, its count) for the tokens that
+    """kind 0: (id, set size, signature, bitmap); kind 1: (token, its count) for the tokens that
     repeat among documents counted together."""
-    names = ["kind", "id", "n", "s1", "s2"]
+    names = ["kind", "id", "n", "s1", "s2", "wide"]
 
     def repeated(held):
         t, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -93,7 +122,7 @@ def profile(docs: DataFrame) -> DataFrame:
         k = len(t)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.ones(k, np.int32)), pa.array(X.signed(t)), pa.array(c.astype(np.int64)),
-             pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+             pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -104,14 +133,16 @@ def profile(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(j - i, np.int32)), batch.column(0).slice(i, j - i),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array([s[0] for s in sig], pa.int64()),
-                     pa.array([s[1] for s in sig], pa.int64())], names=names)
+                     pa.array([s[1] for s in sig], pa.int64()),
+                     pa.array([wide_parity(s) for s in sets], pa.binary())], names=names)
                 held += sets
                 count += sum(map(len, sets))
                 if count >= COUNT_TOKENS:
                     yield repeated(held)
                     held, count = [], 0
         yield repeated(held)
-    return docs.mapInArrow(run, "kind int, id long, n long, s1 long, s2 long")
+        pa.default_memory_pool().release_unused()
+    return docs.mapInArrow(run, "kind int, id long, n long, s1 long, s2 long, wide binary")
 
 
 # ------------------------------------------------------------------ keys
@@ -200,10 +231,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 known = sets_of(a, part.column(2)) | sets_of(b, part.column(3))
                 hit = [similar(known[x], known[y]) for x, y in zip(a, b, strict=True)]
                 for x, s in known.items():
-                    if len(s) < 20_000:
+                    if len(s) < 4_000:
                         kept[x] = s
                         kept.move_to_end(x)
-                while len(kept) > 2_000:
+                while len(kept) > 500:
                     kept.popitem(last=False)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, h in zip(a, hit, strict=True) if h], pa.int64()),
@@ -213,6 +244,38 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def of_pairs(rows: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows (by ``node``) of the nodes in the pairs. Their ids are broadcast only while
+    their counted number stays within BROADCAST_IDS; else the ids are joined by a shuffle."""
+    ids = scratch.save(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+    small = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if small else ids, "node", "left_semi")
+
+
+def possible(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """The pairs that the wide bitmaps (node, n, wide) leave possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in range(2, 6)], strict=True)
+            yield batch.filter(pa.array([may_link(x, y, n, m) for n, m, x, y in rows], pa.bool_())).select(["a", "b"])
+    x = wide.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("w_a"))
+    y = wide.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("w_b"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "w_a", "w_b").mapInArrow(run, "a long, b long")
+
+
+def merged(comp: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component) after more links; links are first contracted to components."""
+    if comp is None:
+        return components(links, scratch)
+    for end in ("a", "b"):
+        at = comp.select(F.col("node").alias(end), F.col("component").alias(f"to_{end}"))
+        links = links.join(at, end, "left").withColumn(f"c_{end}", F.coalesce(f"to_{end}", end))
+    more = scratch.save(components(links.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), scratch))
+    root = more.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    moved = comp.join(root, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return moved.union(more.join(comp, "node", "left_anti").select("node", "component"))
+
+
 def allowed(bound: int):
     """May the pair of postings x and y (columns tag, n) still have the overlap it needs,
     if this key is the first that both have?"""
@@ -224,21 +287,20 @@ def allowed(bound: int):
     return cond
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
-                part: int = 8, tries: int = 8, bound: int | None = None) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 8,
+                tries: int = 2, bound: int | None = None) -> DataFrame:
     """Per document: id, n_shingles, component_id (smallest id that links reach).
 
-    rounds: leader rounds before the exhaustive one, the first with one leader per list,
-    the others with one per ``part`` members of longer lists, dealt ``tries`` times; they
-    change the work, never the result.
+    part, tries: size of the parts that get a leader each in the later rounds, and how often
+    a list is dealt into parts in the last of them; they change the work, never the result.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     seen = scratch.save(profile(src))
-    sets = seen.filter("kind = 0 and id is not null").groupBy("id").agg(F.max(F.struct("n", "s1", "s2")).alias("s")).select("id", "s.*")
+    sets = seen.filter("kind = 0 and id is not null").groupBy("id").agg(F.max(F.struct("n", "s1", "s2", "wide")).alias("s")).select("id", "s.*")
     rep = sets.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("node"))
-    members = scratch.save(sets.join(rep, ["n", "s1", "s2"], "left").select("id", "n", F.coalesce("node", "id").alias("node")))
+    members = scratch.save(sets.join(rep, ["n", "s1", "s2"], "left").select("id", "n", F.coalesce("node", "id").alias("node"), "wide"))
     total = seen.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = seen.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("c"))
     limit = max(FREQUENT_LEAST, total // FREQUENT_SHARE)
@@ -253,48 +315,48 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     w = W.partitionBy("key", "salt")
     live = scratch.save(keys(src.filter("id is not null"), frequent, bound).withColumn("c", F.count("*").over(w))
                         .filter("salt > 0 or c > 1").select("key", "id", "tag"))
-    nodes = scratch.save(live.join(members, "id").groupBy("key", "node").agg(F.min("tag").alias("tag"), F.max("n").alias("n")))
+    nodes = scratch.save(live.join(members.select("id", "node", "n"), "id").groupBy("key", "node").agg(F.min("tag").alias("tag"), F.max("n").alias("n")))
     scratch.drop(live)
-    shared = nodes.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    posts = scratch.save(nodes.join(shared, "key"))
+    # keys whose lists have the same members are one key, at each member's first position
+    lists = nodes.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+                                     F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y")).filter("c > 1")
+    same = nodes.join(lists, "key").select(F.struct("x", "y", "c", F.expr("tag % 2").alias("subset")).alias("key"), "node", "tag", "n", "c")
+    posts = scratch.save(same.groupBy("key", "node").agg(F.min("tag").alias("tag"), F.max("n").alias("n"), F.max("c").alias("c")))
     scratch.drop(nodes)
-    wanted = posts.select("node").distinct()
-    texts = scratch.save(src.join(wanted, src.id == wanted.node, "left_semi")
-                         .groupBy(F.col("id").alias("node")).agg(F.max("text").alias("text")))
     ok = allowed(bound)
-    links, tried, comp = [], [], None
-    for step in range(rounds + 1):
+    comp = None
+    for step, (size, tries) in enumerate([(None, 1), (part, 1), (part, tries), (0, 0)]):
         if comp is None:
             cur = posts.withColumn("comp", F.col("node"))
         else:
             cur = posts.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         cur = cur.select("key", "node", "tag", "n", "comp", "c")
-        if step < rounds:
+        if tries:
             cur = cur.withColumn("part", F.lit(0).cast("long"))
-            if step:   # members of longer lists in parts of about `part`, dealt by key and node, `tries` times
+            if size:   # members of longer lists in parts of about `size`, dealt by key and node, `tries` times
                 deal = F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))
-                n_parts = F.expr(f"(c + {part - 1}) div {part}")
-                cur = (cur.filter(f"c > {part}").withColumn("t", deal)
+                n_parts = F.expr(f"(c + {size - 1}) div {size}")
+                cur = (cur.filter(f"c > {size}").withColumn("t", deal)
                        .withColumn("part", F.pmod(F.xxhash64("key", "node", "t", F.lit(step)), n_parts) * tries + F.col("t")))
             lead = (cur.groupBy("key", "part").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("o"), "node", "tag", "n", "comp")).alias("m"),
                                            F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                     .filter("lo <> hi").select("key", "part", "m.node", "m.tag", "m.n", "m.comp"))
             found = cur.alias("x").join(lead.alias("y"), ["key", "part"]).filter(F.expr("x.comp <> y.comp") & ok("x", "y"))
-        else:
+        else:          # the rest: all pairs of different components that a key still brings together
             open_keys = cur.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-            cur = scratch.save(cur.join(open_keys, "key", "left_semi"))
-            found = cur.alias("x").join(cur.alias("y"), "key").filter(F.expr("x.node < y.node and x.comp <> y.comp") & ok("x", "y"))
-        pairs = found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        for t in tried:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs)
-        tried.append(pairs)
-        links.append(scratch.save(verified(pairs, texts)))
-        every = links[0]
-        for x in links[1:]:
-            every = every.union(x)
-        comp = scratch.save(components(every, scratch))
-    scratch.drop(texts, posts, cur, *tried)
-    smallest = members.join(comp, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+            # a pair is met at its first common key: later ones see that key among those before
+            before = W.partitionBy("node", "key.subset").orderBy("tag", "key").rowsBetween(-BEFORE, -1)
+            cur = scratch.save(cur.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list(F.xxhash64("key")).over(before)))
+            found = (cur.alias("x").join(cur.alias("y"), "key")
+                     .filter(F.expr("x.node < y.node and x.comp <> y.comp and not arrays_overlap(x.before, y.before)") & ok("x", "y")))
+        pairs = scratch.save(found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+        wide = scratch.save(of_pairs(members.filter("id = node").select("node", "n", "wide"), pairs, scratch))
+        left = scratch.save(possible(pairs, wide))
+        texts = scratch.save(of_pairs(src.withColumnRenamed("id", "node"), left, scratch).groupBy("node").agg(F.max("text").alias("text")))
+        found = scratch.save(verified(left, texts))
+        comp = scratch.save(merged(comp, found, scratch))
+        scratch.drop(pairs, wide, left, texts, found)
+    scratch.drop(posts, cur)
+    smallest = members.drop("wide").join(comp, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     return (smallest.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
             .union(seen.filter("kind = 0 and id is null").select("id", "n", F.lit(None).cast("long"))))
