@@ -22,14 +22,16 @@ LEAST_SCORE = 0.25
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in one of the learned languages; null texts and texts without a letter go."""
     docs = docs.select(*COLUMNS)
-    blob = langid_crf.fit(docs.filter(langid_crf.fold() != 2), "doc_id", "text", "lang", 800)
+    blob = langid_crf.fit(docs.filter(langid_crf.fold() != 2), "doc_id", "text", "lang", 500)
     return langid_crf.accepted(docs, blob, LEAST_SCORE)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of documents linked by near-equal shingle sets."""
     groups = jaccard_join.near_groups(docs)
-    return docs.join(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    gone = Scratch(spark).save(groups.filter("component_id <> doc_id").select("doc_id").distinct())
+    few = gone.count() <= jaccard_join.BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

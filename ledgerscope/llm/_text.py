@@ -120,7 +120,14 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_hash(data), start, end) if len(start) else np.zeros(0, np.uint64)
+    """Hashes of the words, computed for about BLOCK_BYTES of text at a time."""
+    out, i = np.zeros(len(start), np.uint64), 0
+    while i < len(start):
+        lo = start[i]
+        j = max(i + 1, int(np.searchsorted(end, lo + BLOCK_BYTES, "right")))
+        out[i:j] = span_hash(prefix_hash(data[lo:end[j - 1]]), start[i:j] - lo, end[i:j] - lo)
+        i = j
+    return out
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

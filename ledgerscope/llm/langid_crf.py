@@ -32,7 +32,7 @@ from ledgerscope.llm import _text as X
 from ledgerscope.llm._shared import ship
 
 DIM = 1 << 16
-BLOCK = 5 << 20
+BLOCK = 3 << 20
 #: bytes of words: letters and everything beyond ASCII
 LETTERS = X.class_table([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 UND = "und"
@@ -128,7 +128,13 @@ def fit_rows(texts: list[str], langs: list[str], piece: int = 12, epochs: int =
     start, end, row = X.words(data, offsets, LETTERS)
     h = X.word_hashes(data, start, end)
     _, example, word = np.unique(h, return_index=True, return_inverse=True)
-    feats, ffirst = word_features(data, start[example], end[example])
+    feats, ffirst = [], [np.zeros(1, np.int64)]
+    for lo in range(0, len(example), 20_000):
+        part = example[lo:lo + 20_000]
+        f, ff = word_features(data, start[part], end[part])
+        feats.append(f.astype(np.int32))
+        ffirst.append(ff[1:] + ffirst[-1][-1])
+    feats, ffirst = np.concatenate([*feats, np.zeros(0, np.int32)]), np.concatenate(ffirst)
     y_doc = np.array([labels.index(x) for x in langs])
     # pieces of consecutive words of one document
     size = np.diff(row)
@@ -273,6 +279,7 @@ def predict(docs: DataFrame, blob: bytes | None, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), pa.array(size),
                      pa.array(runs, RUNS)], names=["id", "lang_pred", "score", "n_words", "runs"])
+        pa.default_memory_pool().release_unused()
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "id long, lang_pred string, score double, n_words long, "
                                "runs array<struct<lang:string,first:long,n:long>>").withColumnRenamed("id", id_col)
@@ -291,6 +298,7 @@ def accepted(docs: DataFrame, blob: bytes | None, least: float, text_col: str =
             for i, j, pred, score, _, _ in labelled(lab, batch.column(0), False):
                 part = batch.slice(i, j - i)
                 yield part.filter(pa.array([x != UND and y >= least for x, y in zip(pred, score.tolist(), strict=True)], pa.bool_()))
+        pa.default_memory_pool().release_unused()
     rest = [c for c in docs.columns if c != text_col]
     src = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*rest).alias("rest"))
     got = src.mapInArrow(run, f"text string, rest {src.schema['rest'].dataType.simpleString()}")
@@ -306,7 +314,7 @@ def fold(id_col: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             docs_per_lang: int = 800, spans: bool = True) -> DataFrame:
+             docs_per_lang: int = 500, spans: bool = True) -> DataFrame:
     """Learn from the labelled rows that are not held out, predict every row."""
     blob = fit(docs.filter(fold(id_col) != 2), id_col, text_col, lang_col, docs_per_lang)
     return predict(docs, blob, id_col, text_col, spans).withColumn(

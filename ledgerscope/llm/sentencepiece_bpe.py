@@ -11,7 +11,7 @@ position fails twice. The result is the very segmentation that greedy merging by
 Blanks become the piece mark, one mark is put before a non-empty text, and a character
 without a piece becomes its byte pieces. Where no piece holds a mark after another
 character (checked on loading), merges never cross from a word into the next mark, so
-marks cut the text into units and the units' encodings are kept per worker.
+marks cut the text into units and the units' encodings are kept within a task.
 
 Results: null or empty text gives only the end id and decodes to the empty text;
 texts of any length take linear time; repeated rows repeat their result.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerscope.llm._shared import ship
 
 MARK = "▁"
-KEEP_UNITS = 400_000      # units kept per worker; the store is emptied when full
+KEEP_UNITS = 150_000      # units kept in a task; the store is emptied when full and at the end
 
 
 class PieceModel:
@@ -158,7 +158,7 @@ class PieceModel:
                 key = out[-1] << 20 | token
                 fits = pair.get(key)
                 if fits is None:
-                    if len(pair) > 1_000_000:
+                    if len(pair) > 300_000:
                         pair.clear()
                     fits = pair[key] = self.compatible(out[-1], token)
             if fits:
@@ -253,6 +253,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([m.decode(x) for x in ids], pa.string())],
                     names=["id", "ids", "decoded"])
+        m.store.clear()
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return src.mapInArrow(run, "id long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
@@ -275,6 +276,8 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hid, pa.string()), pa.array(hdec, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        m.store.clear()                      # the worker lives on and other tasks need the memory
+        pa.default_memory_pool().release_unused()
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return src.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string") \
