@@ -206,9 +206,9 @@ class ModelBundle:
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds p_raw and p (calibrated when a calibrator exists)."""
         from ledgerscope.operators.prep import align_features
-        scaled = self.scaler.transform(df)
-        keep = [c for c in scaled.columns if c not in self.features]
-        aligned = align_features(scaled, self.features, keep=keep)
+        # absent columns are filled on the raw scale, before scaling
+        keep = [c for c in df.columns if c not in self.features]
+        aligned = self.scaler.transform(align_features(df, self.features, keep=keep))
         if self.kind == "logistic":
             lin = logistic_as_columns(self.model, self.features)
             out = aligned.withColumn("p_raw", lin.probability())
@@ -226,7 +226,8 @@ class ModelBundle:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
         meta = {"features": self.features, "kind": self.kind, "scaler": self.scaler.to_rows(),
-                "scaler_columns": self.scaler.columns, "meta": self.meta}
+                "scaler_columns": self.scaler.columns, "meta": self.meta,
+                "has_calibrator": self.isotonic is not None}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
 
@@ -241,11 +242,8 @@ def load_bundle(path: str) -> ModelBundle:
         raise FileNotFoundError(f"No model artefact at {path}; run the training job first.") from exc
     cls = LogisticRegressionModel if meta["kind"] == "logistic" else GBTClassificationModel
     model = cls.load(f"{path}/model")
-    iso = None
-    try:
-        iso = IsotonicRegressionModel.load(f"{path}/isotonic")
-    except Exception:  # noqa: BLE001
-        iso = None
+    # a damaged calibrator is an error, never an uncalibrated model
+    iso = IsotonicRegressionModel.load(f"{path}/isotonic") if meta["has_calibrator"] else None
     sc = ScalerModel(meta["scaler_columns"], {r[0]: r[1] for r in meta["scaler"]},
                      {r[0]: r[2] for r in meta["scaler"]})
     return ModelBundle(meta["features"], sc, model, meta["kind"], iso, meta.get("meta", {}))

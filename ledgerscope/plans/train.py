@@ -71,9 +71,9 @@ def batch_score_job(raw: DataFrame, bundle: MD.ModelBundle, output_path: str | N
                     fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Batch gate (raise on any error) -> score -> summary -> optional write.
     Two actions: the gate aggregate, then the write."""
-    errors = quality.check_batch(raw).where(F.col("error"))
-    if errors.limit(1).count() > 0:
-        bad = [r["column_name"] + ":" + r["check_name"] for r in errors.limit(50).collect()]
+    # one row per column and check at most
+    bad = [r["column_name"] + ":" + r["check_name"] for r in quality.check_batch(raw).where(F.col("error")).collect()]
+    if bad:
         raise ValueError(f"Batch failed quality checks: {bad}")
     scored = batch_score(raw, bundle.predict)
     if output_path:
