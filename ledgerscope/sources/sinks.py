@@ -41,7 +41,7 @@ def read_metrics(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Importance / drift / comparison tables."""
-    w = df.coalesce(1).write.mode("overwrite").format(fmt)
+    w = df.repartition(1).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)
