@@ -32,8 +32,9 @@ def demo_probability() -> Column:
 
 
 def probability_to_score(p: Column) -> Column:
-    """round-half-even(100 p) clipped to [0, 100] (``rint`` rounds half to even)."""
-    return F.least(F.lit(100), F.greatest(F.lit(0), F.rint(p * 100).cast("int")))
+    """round-half-even(100 p) clipped to [0, 100] (``rint`` rounds half to even); NULL for a
+    NULL p, which ``least`` and ``greatest`` alone would skip and so score as 0."""
+    return F.when(p.isNotNull(), F.least(F.lit(100), F.greatest(F.lit(0), F.rint(p * 100).cast("int"))))
 
 
 def score_to_band(score: Column) -> Column:

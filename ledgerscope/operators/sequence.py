@@ -1,88 +1,76 @@
 """Lag of ordered values within a group, safe for groups of any size.
 
 ``Window.partitionBy(key).orderBy(...)`` puts a whole group into one task; a customer
-holding a third of all rows would then be one task over a third of the data. Here the
-rows are instead range-partitioned on the full sort key ``(key, order...)``: the range
-boundaries come from a sample of that composite key, so a hot key is cut into many
-contiguous pieces spread over many tasks. Each task computes the lags inside its
-sorted piece with a vectorised pandas ``groupby().shift`` and also emits its last
-``k`` rows as "tail" copies.
+holding a third of all rows would then be one task over a third of the data. Here every
+key has pieces: a key of ordinary size has one, a hot key (more than ``1 / MAX_HOT`` of
+all rows, and more than ``MIN_HOT_ROWS``) is cut by quantiles of its first order column.
+Lags are taken by a plain window over ``(key, piece)``, so nothing here is Python, unused
+lags are pruned, and no job runs before the caller's action: piece numbers come from
+counts and quantiles of the data, which every consumer finds alike.
 
-The piece output is materialised once with a reliable checkpoint (shared
-``spark.checkpoint.dir``): a sampled range partitioning is not reproducible between
-executions, and every consumer below must see the same pieces.
+Only the first ``k`` rows of a hot key's later pieces have predecessors elsewhere. They and
+the last ``k`` rows of the pieces form a side table on which a window by key finds the
+missing lags, which are broadcast back. Proven bounds, whatever the data: fewer than
+``MAX_HOT`` hot keys, at most ``2 * MAX_HOT`` pieces of them, ``2 * k`` side rows a piece.
 
-Only the first ``k`` rows of the first key of a piece can have predecessors in an
-earlier piece. Those rows, together with the tails of all pieces, form a side table
-of at most ``2 * k * numPartitions`` rows -- bounded by the partition count, not by
-the data -- on which a plain window fills the missing lags. The corrections are
-broadcast back (size proven by that bound) and coalesced in.
+Rows whose key is NULL form one group. Rows of one key with an equal first order value
+stay in one piece. No row is lost or repeated.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerscope.session import checkpoint_dir
+MAX_HOT = 4096          # a key with more than 1/4096 of all rows is cut
+MIN_HOT_ROWS = 100_000  # but none below this
+SPLITS = 256            # most pieces of one key
 
-_KIND = "_seq_kind"     # 0 = row, 1 = tail copy
-_HEAD = "_seq_head"     # row may need predecessors from an earlier piece
+_KEY, _PIECES, _CUTS, _PIECE, _RN, _LAST = "_seq_key", "_seq_n", "_seq_cuts", "_seq_piece", "_seq_rn", "_seq_last"
+
+
+def hot_keys(sizes: DataFrame, key: str, first: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Fewer than MAX_HOT rows: hot key, its number of pieces, quantiles of ``first``."""
+    counts = sizes.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    most = F.greatest(F.lit(min_rows).cast("double"), total / F.lit(MAX_HOT))
+    hot = (counts.where(F.col("_n") > most)
+           .select(_KEY, F.least(F.lit(SPLITS), F.ceil(F.col("_n") / most)).cast("int").alias(_PIECES)))
+    at = [i / SPLITS for i in range(1, SPLITS)]
+    return (sizes.select(F.col(key).alias("_k"), F.col(first).alias("_o"))
+            .join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col(_KEY)))
+            .groupBy(_KEY, _PIECES).agg(F.percentile_approx("_o", at, 10 * SPLITS).alias(_CUTS)))
 
 
 def lag_within_group(df: DataFrame, key: str, order: list[str], values: list[str], k: int,
-                     num_partitions: int | None = None) -> DataFrame:
+                     sizes: DataFrame | None = None, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Add ``{v}_lag{j}`` for j = 1..k: the value j rows earlier in ``order`` within
     the same ``key`` (NULL when there is no such row). ``(key, *order)`` must be
-    unique per row, as it is for (customer, date, order key)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [key, *order]
+    unique per row, as it is for (customer, date, order key). ``sizes`` may name a
+    cheaper frame with the same ``key`` and first order column."""
+    names = df.columns
     lag_names = [f"{v}_lag{j}" for j in range(1, k + 1) for v in values]
+    hot = hot_keys(df if sizes is None else sizes, key, order[0], min_rows)
 
-    in_fields = df.schema.fields
-    by_name = {f.name: f for f in in_fields}
-    col_names = [f.name for f in in_fields]
-    out_schema = T.StructType(
-        list(in_fields)
-        + [T.StructField(f"{v}_lag{j}", by_name[v].dataType, True)
-           for j in range(1, k + 1) for v in values]
-        + [T.StructField(_KIND, T.IntegerType(), False), T.StructField(_HEAD, T.BooleanType(), False)])
+    below = F.size(F.filter(_CUTS, lambda c: c <= F.col(order[0])))
+    piece = F.floor(below * F.col(_PIECES) / F.lit(SPLITS)).cast("int")
+    same = F.col(key).eqNullSafe(F.col(_KEY))
+    by_piece = Window.partitionBy(key, _PIECE).orderBy(*order)
 
-    def lag_piece(batches):
-        from pyspark import TaskContext
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)   # sorted by (key, order)
-        grp = pdf.groupby(key, sort=False)
-        for j in range(1, k + 1):
-            shifted = grp[values].shift(j)
-            for v in values:
-                pdf[f"{v}_lag{j}"] = shifted[v]
-        first_piece = TaskContext.get().partitionId() == 0
-        pdf[_HEAD] = ((pdf[key] == pdf[key].iloc[0]) & (grp.cumcount() < k)
-                      & (not first_piece))
-        pdf[_KIND] = 0
-        tail = pdf.tail(k).assign(**{_KIND: 1, _HEAD: False})
-        yield pd.concat([pdf, tail], ignore_index=True)
+    def lags(over, suffix: str = "") -> list:
+        return [F.lag(v, j).over(over).alias(f"{v}_lag{j}{suffix}") for j in range(1, k + 1) for v in values]
 
-    checkpoint_dir(spark)
-    pieces = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .mapInPandas(lag_piece, out_schema)
-              .checkpoint(eager=True))
+    rows = (df.join(F.broadcast(hot), same, "left")
+            .select(*names, F.when(F.col(_PIECES).isNotNull(), piece).otherwise(F.lit(0)).alias(_PIECE)))
+    rows = rows.select(*names, *lags(by_piece))
 
-    rows = pieces.where(F.col(_KIND) == 0)
-    side = (pieces.where((F.col(_KIND) == 1) | F.col(_HEAD)).select(*col_names, _HEAD)
-            .groupBy(*sort_cols)
-            .agg(*[F.first(c).alias(c) for c in col_names if c not in sort_cols],
-                 F.max(F.col(_HEAD).cast("int")).alias(_HEAD)))
-    w = Window.partitionBy(key).orderBy(*order)
-    fixed = (side.select(*sort_cols, _HEAD, *[F.lag(v, j).over(w).alias(f"{v}_lag{j}__fix")
-                                              for j in range(1, k + 1) for v in values])
-             .where(F.col(_HEAD) == 1).drop(_HEAD))
-    joined = rows.join(F.broadcast(fixed), sort_cols, "left")
-    return joined.select(*[F.col(c) for c in col_names],
-                         *[F.coalesce(F.col(f"{c}__fix"), F.col(c)).alias(c) for c in lag_names])
+    ends = (df.join(F.broadcast(hot), same, "inner").select(key, *order, *values, piece.alias(_PIECE))
+            .select("*", F.row_number().over(by_piece).alias(_RN), F.lead(F.lit(1), k).over(by_piece).alias(_LAST)))
+    head = (F.col(_PIECE) > 0) & (F.col(_RN) <= k)
+    by_key = Window.partitionBy(key).orderBy(*order)
+    fixed = (ends.where(head | F.col(_LAST).isNull())
+             .select(*[F.col(c).alias(f"{c}__at") for c in [key, *order]], head.alias("_head"), *lags(by_key, "__fix"))
+             .where("_head").drop("_head"))
+    at_row = [F.col(c).eqNullSafe(F.col(f"{c}__at")) for c in [key, *order]]
+    joined = rows.join(F.broadcast(fixed), at_row, "left")
+    return joined.select(*names, *[F.coalesce(F.col(f"{c}__fix"), F.col(c)).alias(c) for c in lag_names])

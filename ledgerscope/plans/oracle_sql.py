@@ -52,7 +52,7 @@ credit_all AS (
                  + CASE WHEN GREATEST({_STAT}) > 0 THEN 15 ELSE 0 END
                  + CASE WHEN GREATEST({_STAT}) > 1 THEN 25 ELSE 0 END
          THEN 1 ELSE 0 END AS INTEGER) AS default_payment_next_month
-  FROM credit_sn JOIN customer ON c_custkey = o_custkey),
+  FROM credit_sn LEFT JOIN customer ON c_custkey = o_custkey),
 credit AS (SELECT * FROM credit_all WHERE BILL_AMT6 IS NOT NULL)"""
 
 
@@ -117,11 +117,11 @@ DEMO_P = (f"ROUND({d(1.0)} / ({d(1.0)} + EXP(-((({d(-3.0)} + {d(0.9)} * max_deli
 
 
 def score_sql(p: str) -> str:
-    return f"CAST(LEAST(100, GREATEST(0, round_even({p} * 100, 0))) AS INTEGER)"
+    return f"CASE WHEN {p} IS NOT NULL THEN CAST(LEAST(100, GREATEST(0, round_even({p} * 100, 0))) AS INTEGER) END"
 
 
 def band_sql(score: str) -> str:
-    return f"CASE WHEN {score} IS NULL THEN NULL WHEN {score} <= 30 THEN 'Low' WHEN {score} <= 60 THEN 'Medium' ELSE 'High' END"
+    return f"CASE WHEN ({score}) IS NULL THEN NULL WHEN ({score}) <= 30 THEN 'Low' WHEN ({score}) <= 60 THEN 'Medium' ELSE 'High' END"
 
 
 def scored_cte(src: str = "feat", name: str = "scored") -> str:

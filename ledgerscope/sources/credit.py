@@ -61,7 +61,7 @@ def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = order_months(spark, sf_dir)
     lagged = lag_within_group(months, "o_custkey", ["o_orderdate", "o_orderkey"],
-                              ["bill", "pay", "amt"], 5)
+                              ["bill", "pay", "amt"], 5, sizes=table(spark, sf_dir, "orders"))
     sel = [F.col("o_orderkey").alias("ID"), "o_custkey",
            F.col("o_orderdate").cast("date").alias("AS_OF")]
     for k in range(6):
@@ -81,11 +81,11 @@ def _label(id_col: str = "ID") -> F.Column:
 
 def credit_all(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> DataFrame:
     """Every snapshot, including those with fewer than six months of history (older
-    months NULL). This is the 'dirty' variant used by missing-value checks.
+    months NULL). An order without a customer row stays, with NULL attributes.
     ``keep_customer`` adds the account owner key CUSTOMER_ID."""
     snaps = _snapshots(spark, sf_dir)
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    j = snaps.join(cust, snaps.o_custkey == cust.c_custkey, "inner")
+    j = snaps.join(cust, snaps.o_custkey == cust.c_custkey, "left")
     cols = [F.col("ID"), F.col("AS_OF"),
             ((F.floor((F.col("c_acctbal") + 1000) / 11000 * 49) + 1) * 10000)
             .cast("double").alias("LIMIT_BAL"),
@@ -96,7 +96,7 @@ def credit_all(spark: SparkSession, sf_dir: str, keep_customer: bool = False) ->
     cols += [F.col(c) for c in PAY_STATUS_COLS + BILL_COLS + PAY_AMT_COLS]
     cols.append(_label().alias(TARGET))
     if keep_customer:
-        cols.append(F.col("c_custkey").alias("CUSTOMER_ID"))
+        cols.append(F.col("o_custkey").alias("CUSTOMER_ID"))
     return j.select(*cols)
 
 
@@ -106,9 +106,9 @@ def credit(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> Dat
 
 
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer's most recent full snapshot (latest AS_OF, then highest ID):
+    """Each customer's most recent snapshot (latest AS_OF, then highest ID), full or not:
     one max_by aggregate per customer (partial aggregation, no window)."""
-    c = credit(spark, sf_dir, keep_customer=True)
+    c = credit_all(spark, sf_dir, keep_customer=True)
     cols = [x for x in c.columns if x != "CUSTOMER_ID"]
     best = F.max_by(F.struct(*cols), F.struct("AS_OF", "ID"))
     return c.groupBy("CUSTOMER_ID").agg(best.alias("s")).select("CUSTOMER_ID", "s.*")

@@ -1,20 +1,23 @@
 """Structured Streaming versions of scoring and monitoring.
 
 The request stream is the driver's ``events`` table (user_id = customer key, ts =
-request time) read with ``readStream``; each request is scored against the
-customer's latest snapshot (a stream-static join: the static side is one row per
-customer and is joined by key, never collected). Outputs go through
-``foreachBatch`` to parquet under the shared checkpoint folder, together with the
-stream's own checkpoint, so a restarted query resumes exactly once.
-
-* T1 ``stream_score``: stateless, append.
-* T2 ``stream_band_counts``: watermark 1 hour, tumbling 1-day windows x band.
-* T3 ``stream_score_shift``: tumbling 7-day windows x 10 fixed score bins; each
-  micro-batch's window histograms are joined to the static reference histogram and
-  turned into a PSI per window.
-
-T2/T3 use ``complete`` output: with ``availableNow`` in append mode the last window
-would never close. Late data beyond the watermark is dropped by T2 (see tests).
+request time) read with ``readStream``. A stream-static left join by key finds the
+customer's latest snapshot, so every request leaves once: scored, or quarantined with
+a reason (no customer key, no snapshot, or what the record check found in it).
+
+* T1 ``stream_score`` / ``stream_quarantine``: stateless, append.
+* T2 ``stream_band_counts``: watermark 1 hour, tumbling 1-day windows x band; requests
+  without a score count as band ``Unscored``.
+* T3 ``stream_score_shift``: tumbling 7-day windows x 10 fixed score bins against the
+  static reference histogram as one PSI per window; unscored requests are counted beside.
+
+Each micro-batch writes the folder ``epoch=N`` of its output in overwrite mode, so a
+batch that is run again replaces its own rows. With a ``work`` folder a restarted query
+resumes from the checkpoint in it; without one every call starts anew.
+
+T2/T3 use ``update`` output: a batch writes the windows it changed, a reader takes the
+last epoch of each window, and state of windows older than the watermark is dropped with
+rows that arrive later than that. Requests without a time are in T1 only.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerscope.operators.scoring import band_summary, demo_predictor, score_frame  # noqa: F401
+from ledgerscope.operators.quality import check_records
+from ledgerscope.operators.scoring import demo_predictor, score_frame
 from ledgerscope.session import checkpoint_dir
 from ledgerscope.sources import credit as src
 from ledgerscope.schema import PSI_EPS
@@ -36,73 +40,101 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 SCORE_BIN_EDGES = [10, 20, 30, 40, 50, 60, 70, 80, 90]   # fixed edges on the 0-100 scale
+UNSCORED = "Unscored"
+UNSCORED_BIN = -1
+SCORED_COLS = ["event_id", "ts", "user_id", "snapshot_id", "default_probability", "risk_score", "risk_band"]
 
 
 def _work_dir(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stream-{name}-{uuid.uuid4().hex[:8]}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
     """The events table as a file stream; NTZ timestamps are cast to TIMESTAMP so
     that watermarks apply (session zone UTC)."""
     # the source folder holds every table; only the events file belongs to the stream
-    s = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-         .option("pathGlobFilter", "events*.parquet").parquet(sf_dir.rstrip("/")))
-    return s.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    s = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet")
+    if files_per_trigger:
+        s = s.option("maxFilesPerTrigger", files_per_trigger)
+    return s.parquet(sf_dir.rstrip("/")).select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
 
 
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Static side: latest snapshot per customer, scored by the fixed model."""
-    latest = src.latest_snapshot(spark, sf_dir)
+    """Static side: latest snapshot per customer, checked, and scored by the fixed model;
+    ``problem`` holds what the record check rejects."""
+    latest = check_records(src.latest_snapshot(spark, sf_dir))
     return score_frame(latest, demo_predictor).select(
-        "CUSTOMER_ID", "ID", "default_probability", "risk_score", "risk_band")
+        "CUSTOMER_ID", "ID", "default_probability", "risk_score", "risk_band",
+        F.when(~F.col("valid"), F.array_join("errors", "; ")).alias("problem"))
+
+
+def route_requests(events: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every request once; ``reason`` is NULL for those scored, and the score columns
+    are NULL for the others. Stateless stream-static left join on the customer key."""
+    j = events.join(customers, events.user_id == customers.CUSTOMER_ID, "left")
+    reason = (F.when(F.col("user_id").isNull(), F.lit("no customer key"))
+              .when(F.col("CUSTOMER_ID").isNull(), F.lit("no snapshot"))
+              .otherwise(F.col("problem")))
+    scores = [F.when(reason.isNull(), F.col(c)).alias(c) for c in ("default_probability", "risk_score", "risk_band")]
+    return j.select("event_id", "ts", "user_id", F.col("ID").alias("snapshot_id"), *scores, reason.alias("reason"))
 
 
 def score_requests(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Stream-static inner join on the customer key (stateless)."""
-    return events.join(customers, events.user_id == customers.CUSTOMER_ID, "inner").select(
-        "event_id", "ts", "user_id", F.col("ID").alias("snapshot_id"),
-        "default_probability", "risk_score", "risk_band")
+    """The requests that get a score."""
+    return route_requests(events, customers).where(F.col("reason").isNull()).select(*SCORED_COLS)
 
 
-def _run(query_df: DataFrame, name: str, mode: str, handler) -> None:
-    spark = query_df.sparkSession
-    ckpt = _work_dir(spark, name + "-ckpt")
-    q = (query_df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-         .foreachBatch(handler).trigger(availableNow=True).start())
-    q.awaitTermination()
+def run_epochs(query_df: DataFrame, work: str, mode: str, shape=lambda batch: batch) -> DataFrame:
+    """Run over what is there, each batch into its own folder; the written rows with ``epoch``."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{work}/out/epoch={epoch}")
 
+    (query_df.writeStream.outputMode(mode).option("checkpointLocation", f"{work}/checkpoint")
+     .foreachBatch(write).trigger(availableNow=True).start().awaitTermination())
+    return query_df.sparkSession.read.parquet(f"{work}/out")
 
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score every request; returns the written result as a batch DataFrame."""
-    out = _work_dir(spark, "score")
-    scored = score_requests(event_stream(spark, sf_dir), scored_customers(spark, sf_dir))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("append").parquet(out)
+def _routed(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    return route_requests(event_stream(spark, sf_dir, files_per_trigger), scored_customers(spark, sf_dir))
 
-    _run(scored, "score", "append", write)
-    return spark.read.parquet(out)
 
+def stream_route(spark: SparkSession, sf_dir: str, work: str | None = None) -> DataFrame:
+    """Every request, scored or with a reason, as a batch DataFrame of the written result."""
+    return run_epochs(_routed(spark, sf_dir), work or _work_dir(spark, "route"), "append").drop("epoch")
 
-def band_counts(scored_events: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    return (scored_events.withWatermark("ts", watermark)
-            .groupBy(F.window("ts", window).alias("w"), "risk_band")
-            .agg(F.count(F.lit(1)).alias("n_requests")))
 
+def stream_score(spark: SparkSession, sf_dir: str, work: str | None = None) -> DataFrame:
+    """The scored requests."""
+    return stream_route(spark, sf_dir, work).where(F.col("reason").isNull()).select(*SCORED_COLS)
 
-def stream_band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests per day and band (watermark 1 hour, complete output)."""
-    out = _work_dir(spark, "bands")
-    agg = band_counts(score_requests(event_stream(spark, sf_dir), scored_customers(spark, sf_dir)))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        (batch.select(F.to_date(F.col("w.start")).alias("window_start"), "risk_band", "n_requests")
-         .write.mode("overwrite").parquet(out))
+def stream_quarantine(spark: SparkSession, sf_dir: str, work: str | None = None) -> DataFrame:
+    """The requests without a score, with the reason."""
+    return (stream_route(spark, sf_dir, work).where(F.col("reason").isNotNull())
+            .select("event_id", "ts", "user_id", "snapshot_id", "reason"))
+
 
-    _run(agg, "bands", "complete", write)
-    return spark.read.parquet(out)
+def last_epoch(written: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Of each key, the values of its last epoch."""
+    best = F.max_by(F.struct(*values), F.col("epoch"))
+    return written.groupBy(*keys).agg(best.alias("v")).select(*keys, "v.*")
+
+
+def band_counts(routed: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
+    return (routed.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", window).alias("w"),
+                     F.coalesce("risk_band", F.lit(UNSCORED)).alias("risk_band"))
+            .agg(F.count(F.lit(1)).alias("n_requests")))
+
+
+def stream_band_counts(spark: SparkSession, sf_dir: str, work: str | None = None,
+                       files_per_trigger: int | None = None) -> DataFrame:
+    """Requests per day and band (watermark 1 hour, update output)."""
+    agg = band_counts(_routed(spark, sf_dir, files_per_trigger))
+    written = run_epochs(agg, work or _work_dir(spark, "bands"), "update", lambda b: b.select(
+        F.to_date(F.col("w.start")).alias("window_start"), "risk_band", "n_requests"))
+    return last_epoch(written, ["window_start", "risk_band"], ["n_requests"])
 
 
 def score_bin(score: F.Column) -> F.Column:
@@ -135,24 +167,25 @@ def window_psi(window_counts: DataFrame, ref_hist: DataFrame, eps: float = PSI_E
                                          F.first("nc").alias("n_requests"))
 
 
-def stream_score_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly score-distribution PSI against the reference period."""
-    out = _work_dir(spark, "shift")
-    scored = score_requests(event_stream(spark, sf_dir), scored_customers(spark, sf_dir))
-    agg = (scored.withWatermark("ts", "1 hour")
-           .groupBy(F.window("ts", "7 days").alias("w"), score_bin(F.col("risk_score")).alias("bin"))
+def stream_score_shift(spark: SparkSession, sf_dir: str, work: str | None = None,
+                       files_per_trigger: int | None = None) -> DataFrame:
+    """Weekly score-distribution PSI against the reference period. ``n_requests``
+    counts the scored requests; a week with none has a NULL psi and flag."""
+    score = F.col("risk_score")
+    agg = (_routed(spark, sf_dir, files_per_trigger).withWatermark("ts", "1 hour")
+           .groupBy(F.window("ts", "7 days").alias("w"),
+                    F.when(score.isNull(), UNSCORED_BIN).otherwise(score_bin(score)).alias("bin"))
            .agg(F.count(F.lit(1)).alias("c")))
-    ref_hist = reference_histogram(spark, sf_dir)
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        counts = batch.select(F.to_date(F.col("w.start")).alias("window_start"), "bin", "c")
-        res = window_psi(counts, ref_hist)
-        res.select("window_start", "n_requests", F.round("psi", 4).alias("psi"),
-                   (F.round("psi", 4) > 0.2).alias("shifted")).write.mode("overwrite").parquet(out)
-
-    _run(agg, "shift", "complete", write)
-    return spark.read.parquet(out)
-
-
-__all__ = ["stream_score", "stream_band_counts", "stream_score_shift", "event_stream",
-           "score_requests", "band_counts", "window_psi"]
+    written = run_epochs(agg, work or _work_dir(spark, "shift"), "update", lambda b: b.select(
+        F.to_date(F.col("w.start")).alias("window_start"), "bin", "c"))
+    counts = last_epoch(written, ["window_start", "bin"], ["c"])
+    unscored = counts.groupBy("window_start").agg(
+        F.sum(F.when(F.col("bin") == UNSCORED_BIN, F.col("c")).otherwise(0)).alias("n_unscored"))
+    psi = window_psi(counts.where(F.col("bin") != UNSCORED_BIN), reference_histogram(spark, sf_dir))
+    return unscored.join(psi, "window_start", "left").select(
+        "window_start", F.coalesce("n_requests", F.lit(0)).cast("bigint").alias("n_requests"), "n_unscored",
+        F.round("psi", 4).alias("psi"), (F.round("psi", 4) > 0.2).alias("shifted"))
+
+
+__all__ = ["stream_route", "stream_score", "stream_quarantine", "stream_band_counts", "stream_score_shift",
+           "event_stream", "route_requests", "score_requests", "band_counts", "window_psi"]

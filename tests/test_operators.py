@@ -9,14 +9,14 @@ from ledgerscope.operators.sequence import lag_within_group
 
 
 def test_lag_within_group_hot_key_matches_window(spark):
-    # key 0 holds ~half the rows, so it spans many range pieces
+    # key 0 holds ~half the rows, so it spans many pieces
     rng = np.random.default_rng(1)
     n = 3000
     keys = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 40, n))
     pdf = pd.DataFrame({"k": keys.astype("int64"), "t": rng.permutation(n).astype("int64"),
                         "v": rng.normal(size=n), "s": rng.integers(-1, 5, n).astype("int32")})
     df = spark.createDataFrame(pdf)
-    got = lag_within_group(df, "k", ["t"], ["v", "s"], 5, num_partitions=16)
+    got = lag_within_group(df, "k", ["t"], ["v", "s"], 5, min_rows=50)
     w = Window.partitionBy("k").orderBy("t")
     exp = df.select("k", "t", *[F.lag(c, j).over(w).alias(f"{c}_lag{j}")
                                 for j in range(1, 6) for c in ["v", "s"]])
@@ -25,6 +25,20 @@ def test_lag_within_group_hot_key_matches_window(spark):
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
 
+def test_lag_ties_null_keys_and_no_jobs_before_the_action(spark):
+    # a hot NULL key, ties and NULLs in the first order column, a piece of fewer than k rows
+    rows = [(None if i % 3 else i % 7, None if i % 50 == 0 else i // 100, i, float(i)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k int, d int, t int, v double")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    got = lag_within_group(df, "k", ["d", "t"], ["v"], 5, min_rows=20)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    w = Window.partitionBy("k").orderBy("d", "t")
+    exp = df.select("k", "d", "t", "v", *[F.lag("v", j).over(w).alias(f"v_lag{j}") for j in range(1, 6)])
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    assert lag_within_group(df.limit(0), "k", ["d", "t"], ["v"], 5).count() == 0
+
+
 def test_running_totals_matches_cumsum(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 500, p=[0.9, 0.1]),
