@@ -47,26 +47,30 @@ def drop_id(df: DataFrame) -> DataFrame:
     return df.drop(ID_COL)
 
 
-def read_credit_csv(spark: SparkSession, path: str, with_id: bool = True,
-                    with_target: bool = True) -> DataFrame:
-    """CSV scan with an explicit schema (never inferSchema), then the header fixes."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .schema(raw_schema(with_id, with_target)).csv(path))
-    return nan_to_null(rename_target(remap_columns(df)))
-
-
-def read_credit_csv_headered(spark: SparkSession, path: str) -> DataFrame:
-    """CSV whose header may be generic (X1..Y) or dotted: read header names first as
-    strings, rename, then cast to the typed schema."""
-    df = spark.read.option("header", True).csv(path)
+def _typed(name: str, kind: T.DataType) -> F.Column:
+    """Text to ``kind``; blank and NaN are NULL, whole numbers may be written 24.0, and any
+    other text is an error that names the column and the value."""
+    text = F.trim(F.col(f"`{name}`"))
+    number = text.try_cast("double")
+    if isinstance(kind, T.DoubleType):
+        value = number
+    else:
+        whole = F.when(number == F.rint(number), number.try_cast(kind))
+        value = F.coalesce(text.try_cast(kind), whole)
+    empty = text.isNull() | (text == "") | F.isnan(F.coalesce(number, F.lit(0.0)))
+    wrong = F.raise_error(F.concat(F.lit(f"column {name} cannot be read as {kind.simpleString()}: "), text))
+    return F.when(empty, F.lit(None)).when(value.isNotNull(), value).otherwise(wrong.cast(kind)).alias(name)
+
+
+def read_credit_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV scan by the names in the header (real, generic X1..Y or dotted), in any order;
+    absent columns stay absent and unknown ones stay text. Files of one folder must have
+    the same header, and rows of another width or with unreadable values are errors."""
+    df = (spark.read.option("header", True).option("mode", "FAILFAST")
+          .option("enforceSchema", False).csv(path))
     df = rename_target(remap_columns(df))
-    typed = raw_schema(True, True)
-    cols = []
-    for f in typed.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
-    extra = [F.col(f"`{c}`") for c in df.columns if c not in typed.fieldNames()]
-    return nan_to_null(df.select(*cols, *extra))
+    kinds = {f.name: f.dataType for f in raw_schema(True, True).fields}
+    return df.select(*[_typed(c, kinds[c]) if c in kinds else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_credit_parquet(spark: SparkSession, path: str) -> DataFrame:
