@@ -25,9 +25,9 @@ their 128-bit hashes, which spreads them evenly. Removed spans are merged inside
 document. Nothing is capped.
 
 Results: null text is empty; texts under 200 bytes lose nothing; an exact copy of a long
-text loses all, as its original does; rows that repeat a doc_id are one document in several
-rows: matches between them count, and each loses what any of them loses at its offsets; an
-empty table gives an empty result.
+text loses all, as its original does; every row is a document of its own, also where rows
+repeat a doc_id or have none (work is keyed by a row id; doc_id is only carried to the
+result); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -408,17 +408,20 @@ def count_windows(cuts: DataFrame) -> DataFrame:
     return w.filter("id is not null").join(again, ["w1", "w2"]).select("id", "lo", (F.col("lo") + LENGTH).alias("hi"))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) with a stand-in for a null id."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("id"), F.col(text_col).cast("string").alias("text"))
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, doc): every row of docs as a struct with an id of its own, saved so that later
+    plans see the same ids."""
+    return scratch.save(docs.select(F.monotonically_increasing_id().alias("id"), F.struct(*docs.columns).alias("doc")))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(id, spans): byte ranges (lo, hi) of each document that repeat, not yet merged."""
+    """(id, doc, spans): every row of docs under an id of its own (``doc`` has its columns)
+    with its byte ranges (lo, hi) that repeat, not yet merged, or null."""
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark)
-    src = keyed(docs, id_col, text_col)
+    rows = numbered(docs, scratch)
+    src = rows.select("id", F.col("doc").getField(text_col).cast("string").alias("text"))
     occ = scratch.save(occurrences(src))
     per = occ.groupBy("anchor").agg(F.count("*").alias("n"), F.min("span").alias("a"), F.max("span").alias("b")) \
         .filter("n > 1").select("anchor", F.expr("a <> b").alias("mixed"))
@@ -436,7 +439,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else:
         cuts = scratch.save(cuts)
         found = sort_shards(cuts.join(big, "anchor", "left_anti")).union(count_windows(cuts.join(big, "anchor", "left_semi")))
-    return known.union(again).union(found).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = known.union(again).union(found).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return rows.join(spans, "id", "left").select("id", "doc", "spans")
 
 
 def merged(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
@@ -458,7 +462,8 @@ def cut_text(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def digest(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per row of docs: n_bytes, n_removed, n_spans, kept_sha256; spans as ``repeated_spans``
+    of these docs gives them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -469,9 +474,10 @@ def digest(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([o[c] for o in out], pa.int64()) for c in range(3)],
                  pa.array([o[3] for o in out], pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    both = keyed(docs, id_col, text_col).join(spans, "id", "left").select("id", "text", "spans")
+    doc = F.col("doc")
+    both = spans.select(doc.getField(id_col).cast("long").alias("id"), doc.getField(text_col).cast("string").alias("text"), "spans")
     got = both.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return got.withColumn("id", F.when(F.col("id") != F.lit(-2**63), F.col("id"))).withColumnRenamed("id", id_col)
+    return got.withColumnRenamed("id", id_col)
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -488,9 +494,9 @@ def without_repeats(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", t
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(2)], names=["text", "rest"])
     rest = [c for c in docs.columns if c != text_col]
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63))
-    src = docs.select(key.alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*rest).alias("rest"))
-    both = src.join(spans, "id", "left").select("text", "spans", "rest")
-    kind = src.schema["rest"].dataType.simpleString()
+    doc = F.col("doc")
+    both = spans.select(doc.getField(text_col).cast("string").alias("text"), "spans",
+                        F.struct(*[doc.getField(c).alias(c) for c in rest]).alias("rest"))
+    kind = both.schema["rest"].dataType.simpleString()
     got = both.mapInArrow(run, f"text string, rest {kind}")
     return got.select(*[F.col("text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])
