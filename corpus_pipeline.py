@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's docs. All but the last return the columns of
-documents. Rows that repeat a doc_id are one document: they stay or go together. Rows with
-a null doc_id pass the stages that work by id, except that repeated passages go.
+documents. Rows that repeat a doc_id are one document: near copies and benchmarks leave
+them or drop them together. Every row with a null doc_id is a document of its own, judged
+like all others; of near copies one without an id stays only where none has an id.
 """
 
 from __future__ import annotations
@@ -26,12 +27,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid_crf.accepted(docs, blob, LEAST_SCORE)
 
 
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """docs with an id for each row, saved so that all later plans see the same ids."""
+    return scratch.save(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of documents linked by near-equal shingle sets."""
-    groups = jaccard_join.near_groups(docs)
-    gone = Scratch(spark).save(groups.filter("component_id <> doc_id").select("doc_id").distinct())
-    few = gone.count() <= jaccard_join.BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*COLUMNS)
+    """The smallest doc_id of each group of documents linked by near-equal shingle sets;
+    of a group without ids, one row."""
+    scratch = Scratch(spark)
+    docs = numbered(docs, scratch)
+    ids = docs.select("row", "doc_id")
+    linked = scratch.save(jaccard_join.near_groups(docs, id_col="row").filter("component_id <> row").select("row", "component_id"))
+    few = linked.count() <= jaccard_join.BROADCAST_IDS
+    # a group's smallest row is its component and stands in no row of linked
+    roots = linked.select(F.col("component_id").alias("row"), "component_id").distinct()
+    member = linked.union(roots)
+    member = scratch.save(ids.join(F.broadcast(member) if few else member, "row"))
+    best = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("doc_id").isNotNull() | (F.col("row") == F.col("best.row")))
+    gone = scratch.save(member.join(best, "component_id").filter(~stays).select("row"))
+    return docs.join(F.broadcast(gone) if few else gone, "row", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +58,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    found = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    docs = numbered(docs, Scratch(spark))
+    found = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"), row_col="row")
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("row").alias("bad_row"))
+    own = F.when(F.col("doc_id").isNull(), F.col("row"))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & own.eqNullSafe(F.col("bad_row")), "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ Skew: the items' fingerprints are broadcast only while their counted number stay
 reduced to distinct positions of a document before anything is grouped.
 
 Results: a null or wordless document has no words, no hits and is clean; rows that repeat
-a doc_id give one row; an empty benchmark leaves every document clean; items that
-are null or wordless occur nowhere.
+a doc_id give one row, a row without a doc_id is a document of its own; an empty benchmark
+leaves every document clean; items whose text is null or wordless occur nowhere, and an
+item without an item_id is an item of its own. Hits are found by an id of the row.
 """
 
 from __future__ import annotations
@@ -97,10 +98,11 @@ def fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item, key, n, spelled): every 13-word window of the items, short items whole."""
+    """(item, own, key, n, spelled): every 13-word window of the items, short items whole.
+    Items are (id, text, own); ``own`` tells a row's id that stands for a missing one."""
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
             for i, j, data, offsets, _ in X.blocks(batch.column(1)):
                 data, start, end, first, h = _hashed(data, offsets)
                 size = np.diff(first)
@@ -111,22 +113,21 @@ def item_windows(items: DataFrame) -> DataFrame:
                 for n, row, pos, g in got:
                     if len(row):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(ids[i:j][row]), pa.array(X.signed(g)), pa.array(np.full(len(row), n, np.int32)),
-                             pa.array(_spell(data, start, end, pos, n), pa.binary())], names=["item", "key", "n", "spelled"])
-    return items.mapInArrow(run, "item long, key long, n int, spelled binary").distinct()
+                            [pa.array(ids[i:j][row]), pa.array(own[i:j][row]), pa.array(X.signed(g)), pa.array(np.full(len(row), n, np.int32)),
+                             pa.array(_spell(data, start, end, pos, n), pa.binary())], names=["item", "own", "key", "n", "spelled"])
+    return items.mapInArrow(run, "item long, own boolean, key long, n int, spelled binary").distinct()
 
 
 def _candidates(docs: DataFrame) -> DataFrame:
-    """One row with the word count per document, and one per window around a hit."""
+    """One row with the word count per row of docs, and one per window around a hit."""
     def run(batches):
         for batch in batches:
-            rid = batch.column(0).to_numpy(zero_copy_only=False)
-            hits = batch.column(2)
+            rid, doc, hits = batch.column(0), batch.column(3), batch.column(2)
             for i, j, data, offsets, _ in X.blocks(batch.column(1)):
                 data, start, end, first, h = _hashed(data, offsets)
                 size = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[i:j]), pa.array(size), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.int32()),
+                    [rid.slice(i, j - i), doc.slice(i, j - i), pa.array(size), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.int32()),
                      pa.nulls(j - i, pa.int64()), pa.nulls(j - i, pa.binary())], names=OUT)
                 for r in range(i, j):
                     if not hits[r].is_valid:
@@ -143,30 +144,36 @@ def _candidates(docs: DataFrame) -> DataFrame:
                         g = X.grams(h[lo:lo + n_words], n)[at]
                         k = len(at)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(k, rid[r])), pa.array(np.full(k, n_words)), pa.array(at.astype(np.int32)),
+                            [pa.array([rid[r].as_py()] * k, pa.int64()), pa.array([doc[r].as_py()] * k, pa.int64()),
+                             pa.array(np.full(k, n_words)), pa.array(at.astype(np.int32)),
                              pa.array(np.full(k, n, np.int32)), pa.array(X.signed(g)),
                              pa.array(_spell(data, start, end, at + lo, n), pa.binary())], names=OUT)
-    return docs.mapInArrow(run, "rid long, n_words long, at int, n int, key long, spelled binary")
+    return docs.mapInArrow(run, "rid long, doc long, n_words long, at int, n int, key long, spelled binary")
 
 
-OUT = ["rid", "n_words", "at", "n", "key", "spelled"]
+OUT = ["rid", "doc", "n_words", "at", "n", "key", "spelled"]
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text",
-                  share: int = 20) -> DataFrame:
+                  share: int = 20, row_col: str | None = None) -> DataFrame:
     """Per document: n_words, n_hit, ``hit_spans`` (array of start word and length),
-    ``item_ids`` (sorted array of ids that occur) and contaminated
-    (n_hit > 0 and share * n_hit >= n_words).
+    ``item_ids`` (sorted array of ids that occur, then a null for each item without an id)
+    and contaminated (n_hit > 0 and share * n_hit >= n_words).
 
     Rows with the same id count as one document: their hits are united and the larger
-    word count is given; a null id is one such document.
+    word count is given; each row without an id is one document. ``row_col`` names a column
+    of saved row ids in docs, where the caller has one: documents without an id have theirs
+    in the result, the others null.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark)
-    src = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).cast("string").alias("text"))
-    bench = items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text")) \
-        .filter("id is not null and text is not null")
+    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    src = docs.select(rid.alias("rid"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc"))
+    src = src if row_col else scratch.save(src)
+    item = F.col(item_col).cast("long")
+    bench = items.select(F.coalesce(item, F.monotonically_increasing_id()).alias("id"), F.col(item_text_col).cast("string").alias("text"),
+                         item.isNull().alias("own")).filter("text is not null")
     windows = scratch.save(item_windows(bench))
     sizes = windows.groupBy("n").agg(F.count("*").alias("c")).collect()     # at most 13 rows
     short = sorted(r["n"] for r in sizes if r["n"] < SPAN)
@@ -176,14 +183,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     few = sum(r["c"] for r in sizes) <= BROADCAST_ROWS // 8     # these carry their words
     marks = fingerprints(src.select("rid", "text"), short).withColumnRenamed("id", "rid")
     hits = (marks.join(F.broadcast(tests) if small else tests, ["h", "n"], "left_semi")
-            .filter("rid is not null").select("rid", "p", "n").distinct()
+            .select("rid", "p", "n").distinct()
             .groupBy("rid").agg(F.collect_list(F.struct("p", "n")).alias("hits")))
-    cand = _candidates(src.join(hits, "rid", "left").select("rid", "text", "hits"))
+    cand = _candidates(src.join(hits, "rid", "left").select("rid", "text", "hits", "doc"))
     found = cand.join(F.broadcast(windows) if few else windows, ["key", "n", "spelled"], "left")
-    per = found.groupBy("rid").agg(
+    per = found.groupBy("doc", F.when(F.col("doc").isNull(), F.col("rid")).alias("rid")).agg(
         F.max("n_words").alias("n_words"),
         F.collect_set(F.when(F.col("item").isNotNull(), F.struct("at", "n"))).alias("spans"),
-        F.collect_set("item").alias("items"))
+        F.collect_set(F.when(F.col("item").isNotNull(), F.struct("own", "item"))).alias("items"))
+    ids = F.transform(F.array_sort("items"), lambda x: F.when(~x["own"], x["item"]))
     spans = F.array_sort("spans")
     # spans ordered by start: covered words are counted up to the furthest end so far
     hit = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e")),
@@ -191,8 +199,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                           (acc["n"] + F.greatest(F.lit(0).cast("long"),
                                                  s["at"] + s["n"] - F.greatest(acc["e"], s["at"].cast("long")))).alias("n"),
                           F.greatest(acc["e"], (s["at"] + s["n"]).cast("long")).alias("e")))["n"]
-    return (per.select(F.col("rid").alias(id_col), "n_words", hit.alias("n_hit"), spans.alias("hit_spans"),
-                       F.array_sort("items").alias("item_ids"))
+    return (per.select(F.col("doc").alias(id_col), *([F.col("rid").alias(row_col)] if row_col else []), "n_words", hit.alias("n_hit"),
+                       spans.alias("hit_spans"), ids.alias("item_ids"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))
 
 

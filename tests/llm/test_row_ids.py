@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerscope.llm import suffix_dedup
+import corpus_pipeline
+from ledgerscope.llm import decontaminate, suffix_dedup
 
 
 def prose(seed, n):
@@ -35,3 +36,28 @@ def test_repeats_by_row(spark, limit):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == want
     cut = suffix_dedup.without_repeats(docs, spans).collect()
     assert Counter((r["doc_id"], r["text"]) for r in cut) == left
+
+
+def test_hits_by_row(spark, tmp_path):
+    quote = prose(10, 20)
+    texts = [(None, prose(11, 30) + " " + quote), (None, prose(12, 40)), (None, prose(13, 5) + " " + quote), (None, None),
+             (2**62 + 1, quote), (5, prose(14, 30)), (6, prose(16, 9) + " " + prose(15, 15))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(1, quote), (None, quote), (None, prose(15, 15)), (None, None), (2, prose(17, 20))], "item_id long, text string")
+    got = decontaminate.decontaminate(docs, items).collect()
+    want = Counter([(None, 50, 20, 2), (None, 40, 0, 0), (None, 25, 20, 2), (None, 0, 0, 0), (2**62 + 1, 20, 20, 2), (5, 30, 0, 0), (6, 24, 15, 1)])
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], len(r["item_ids"])) for r in got) == want
+    assert {tuple(r["item_ids"]) for r in got} == {(), (1, None), (None,)}
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    full = docs.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    left = corpus_pipeline.benchmarks(spark, full, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in left) == Counter([texts[1], texts[3], texts[5]])
+
+
+def test_near_copies_by_row(spark, tmp_path):
+    a, b, c = prose(20, 80), prose(21, 80), prose(22, 80)
+    texts = [(None, a), (9, a + " x"), (4, a), (4, a), (None, b), (None, b + " y"), (None, c), (3, prose(23, 50)), (None, None), (None, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3) \
+        .selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    left = Counter((r["doc_id"], (r["text"] or "")[:300]) for r in corpus_pipeline.near_copies(spark, docs, str(tmp_path)).collect())
+    assert left == Counter([(4, a[:300]), (4, a[:300]), (None, b[:300]), (None, c[:300]), (3, prose(23, 50)[:300]), (None, ""), (None, "")])
