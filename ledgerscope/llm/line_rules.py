@@ -3,12 +3,12 @@ r"""Operator 3: quality rules on repeated lines across documents.
 DataFrame expressions only. Lines are the \n-separated parts that hold a word; a line's
 key is the hash of its normal form (lower-cased, digits as 0, white space as one blank,
 trimmed). The number of documents of a host that hold a line is counted over the whole
-table; a line in more documents than the host's limit is removed, and a document that
+table; a line in more than ``min_docs`` of them is removed, and a document that
 loses too large a part of its words is rejected. Besides, base rules look at the document
 alone: too few words, or too many in repeated three-word windows.
 
-The limit of a host is the larger of ``min_docs`` and ``max_share`` of its documents, so it
-follows the host's size. Counts are keyed by host and line, so a host with a third of all
+The limit is a number of documents, the same on small and large hosts: a line that is held
+often is no less repeated where its host holds much else. Counts are keyed by host and line, so a host with a third of all
 documents is spread over all tasks and combined map-side; one line that a third of the
 documents hold is a count too, and its removal is a join with a table of frequent lines
 (broadcast below FREQUENT_ROWS counted rows, else AQE splits the hot key).
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerscope.llm._shared import Scratch
 
 SPACE = r"[ \t-\r]+"
-MIN_DOCS, MAX_SHARE = 20, 0.01     # a line is frequent beyond both
+MIN_DOCS = 20                      # a line is frequent beyond so many documents of its host
 LEAST_LEFT = 0.5                   # part of the words that must be left
 FREQUENT_ROWS = 200_000
 
@@ -64,8 +64,8 @@ def line_key(line: Column) -> Column:
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                 min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT,
-                 least_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+                 min_docs: int = MIN_DOCS, least_left: float = LEAST_LEFT, least_words: int = 50,
+                 max_repeat_percent: int = 50) -> DataFrame:
     """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     n_lines, n_removed_lines, n_removed_words, kept."""
     scratch = Scratch(docs.sparkSession)
@@ -80,11 +80,9 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(words_of(F.col("t"))).alias("n_repeat_words"),
         F.transform("lines", lambda x: F.struct(line_key(x).alias("key"), F.size(words_of(x)).alias("words"))).alias("lines")))
-    limit = base.groupBy(F.col("host").alias("lhost")).agg(F.greatest(F.lit(float(min_docs)), max_share * F.count("*")).alias("limit"))
     held = base.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["key"]))).alias("key"))
     seen = held.groupBy("host", "key").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
-    frequent = scratch.save(seen.join(limit, F.col("host").eqNullSafe(F.col("lhost"))).filter("n_docs > limit")
-                            .select(F.col("host").alias("fhost"), F.col("key").alias("fkey")))
+    frequent = scratch.save(seen.select(F.col("host").alias("fhost"), F.col("key").alias("fkey")))
     few = frequent.count() <= FREQUENT_ROWS
     lines = base.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.key", "x.words")
     gone = (lines.join(F.broadcast(frequent) if few else frequent, (F.col("key") == F.col("fkey")) & F.col("host").eqNullSafe(F.col("fhost")))
