@@ -166,6 +166,11 @@ def parse(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     keys = ["conv", "turn", "row"]
     placed = scratch.save(src.repartitionByRange(pieces, *keys).withColumn("piece", F.spark_partition_id()))
     # the message before: inside a piece, and across the border through each piece's last message
+    last, carried = None, {}
+    ends = placed.groupBy("piece").agg(F.max_by(F.struct("conv", "role"), F.struct(*keys)).alias("m")).collect()     # one row a piece
+    for r in sorted(ends, key=lambda r: r["piece"]):
+        carried[r["piece"]], last = last, (r["m"]["conv"], r["m"]["role"])
+    over = messages.sparkSession.sparkContext.broadcast(carried)
     out_type = "conv long, turn long, role string, text string, row long, piece int, before string, starts boolean"
 
     def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -173,11 +178,11 @@ def parse(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = ordered(pdf)
-        conv = pdf["conv"].astype("object").where(pdf["conv"].notna(), None)
-        same = [False, *[a == b for a, b in zip(conv[1:], conv[:-1], strict=True)]]
+        conv = [None if pd.isna(x) else int(x) for x in pdf["conv"]]
+        before = over.value[int(pdf["piece"][0])]
+        same = [before is not None and before[0] == conv[0], *[a == b for a, b in zip(conv[1:], conv[:-1], strict=True)]]
         pdf["starts"] = [not x for x in same]
-        pdf["before"] = [r if s else None for r, s in zip([None, *pdf["role"][:-1]], same, strict=True)]
-        pdf.loc[0, "starts"] = pdf["piece"][0] == 0      # of a later piece's first message nothing is learnt
+        pdf["before"] = [r if s else None for r, s in zip([before and before[1], *pdf["role"][:-1]], same, strict=True)]
         return pdf[["conv", "turn", "role", "text", "row", "piece", "before", "starts"]]
     linked = placed.groupBy("piece").applyInPandas(chain, out_type)
     known = linked.filter(F.col("role").isNotNull() & (F.coalesce(F.crc32(F.col("conv").cast("string").cast("binary")) % 4, F.lit(0)) != 2))
