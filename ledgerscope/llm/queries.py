@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerscope.llm import merkle
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _SQL: dict[str, str] = {}
@@ -101,3 +103,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm import chat_hmm as C
     got = C.parse(table(spark, sf_dir, "conversations"))
     return got.select("conv_id", "turn", "role", "role_pred", "n_turns", "rendered")
+
+
+@register("op13_recursive_merkle", merkle.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(table(spark, sf_dir, "documents"))
