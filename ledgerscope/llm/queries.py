@@ -105,6 +105,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("conv_id", "turn", "role", "role_pred", "n_turns", "rendered")
 
 
+@register("op11_crf_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import toxicity_crf as T
+    got = T.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"),
+                      F.expr("transform(spans, s -> s.start)").alias("span_starts"))
+
+
+@register("op12_bidiagonal_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm import whitening as W
+    return W.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @register("op13_recursive_merkle", merkle.oracle())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(table(spark, sf_dir, "documents"))
