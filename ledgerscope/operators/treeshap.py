@@ -1,25 +1,27 @@
-"""Exact path-dependent TreeSHAP for Spark gradient-boosted trees (A3).
-
-The model's node table (bounded by trees x nodes -- the model size, not the data)
-is read from its saved form once and shipped to the tasks with the function
-closure. Rows are processed per Arrow batch in ``mapInPandas``.
-
-For a leaf L the path-dependent value function is a product over the features on
-its path: v_L(S) = value_L * prod_f (a_f(x) if f in S else c_f), where a_f is 1 when
-x satisfies every split on f along the path and c_f is the product of the cover
-fractions of those splits. A depth-5 tree has at most 5 distinct features per path,
-so the Shapley values of v_L are computed exactly by enumerating the <= 32 subsets
-with vectorised NumPy over the batch; Shapley values are linear in the game, so the
-tree's values are the sum over leaves. Spark's boosted model outputs
-P(1) = 1 / (1 + exp(-2 * sum_t w_t tree_t(x))), so attributions in log-odds are
-2 * w_t * phi_t, summed over trees, and base + sum(phi) = margin exactly.
+"""Exact path-dependent TreeSHAP for tree ensembles of any depth (A3).
+
+On the way to a leaf a row meets each feature f with a one-fraction o_f (1 if it satisfies
+all splits on f, else 0) and a zero-fraction z_f (product of the cover ratios of those
+splits). The leaf's game is v(S) = value * prod_{f in S} o_f * prod_{f not in S} z_f, whose
+Shapley value is
+
+    phi_f = value (o_f - z_f) * integral_0^1 prod_{k != f} (z_k (1 - t) + o_k t) dt.
+
+The product is a polynomial in t. It is *extended* by one factor per edge while the tree is
+walked from the root, kept by its values at Gauss-Legendre points (as many as make the
+integral exact for the deepest path), and *unwound* by dividing one factor out. An edge that
+splits on a feature met before replaces that feature's factor. As one-fractions are 0 or 1,
+factors and gains of an edge come from a small table. All edges of one level, all points and
+a block of rows are one NumPy operation; sums over the leaves below an edge come back up the
+levels, so the work for a row is edges times points, not leaves times subsets.
+Attributions are on the log-odds scale: base + sum(phi) = margin up to rounding.
+
+Rows are processed per Arrow batch in ``mapInPandas``; the model's arrays travel in the task.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-from itertools import combinations
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,112 +29,140 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerscope.session import checkpoint_dir
-
-
-def _subset_tables(d: int):
-    subsets = [s for k in range(d + 1) for s in combinations(range(d), k)]
-    mask = np.zeros((len(subsets), d), dtype=bool)
-    weights = np.zeros((len(subsets), d))
-    for i, s in enumerate(subsets):
-        mask[i, list(s)] = True
-        k = len(s)
-        for j in range(d):
-            if j in s:   # S = s \ {j} of size k-1 gains j
-                weights[i, j] = math.factorial(k - 1) * math.factorial(d - k) / math.factorial(d)
-            else:        # S = s of size k, j added elsewhere
-                weights[i, j] = -math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d)
-    return mask, weights
-
-
-def extract_trees(model) -> tuple[list[dict], list[float]]:
-    """Node arrays per tree from the saved model (collected: bounded by model size)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/treeshap-model-{uuid.uuid4().hex[:8]}"
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("value"),
-        F.col("nodeData.rawCount").alias("raw"),
-        F.try_element_at("nodeData.impurityStats", F.lit(1)).alias("wcount"),
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feat"),
-        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("thr")).toPandas()
-    trees = []
-    for tid, g in nodes.groupby("treeID"):
-        g = g.set_index("id").sort_index()
-        cover = np.where(g["wcount"].fillna(0) > 0, g["wcount"].fillna(0), g["raw"].astype(float))
-        trees.append({"id": int(tid), "value": g["value"].to_numpy(float), "cover": cover,
-                      "left": g["left"].to_numpy(int), "right": g["right"].to_numpy(int),
-                      "feat": g["feat"].to_numpy(int), "thr": g["thr"].fillna(0).to_numpy(float)})
-    trees.sort(key=lambda t: t["id"])
-    return trees, list(model.treeWeights)
-
-
-def _leaves(tree: dict) -> list[tuple[float, float, list[tuple[int, float, bool, float]]]]:
-    """(value, cover, path) per leaf; path items (feature, threshold, go_left, cover ratio)."""
-    out = []
-    stack = [(0, [])]
-    while stack:
-        n, path = stack.pop()
-        if tree["left"][n] < 0:
-            out.append((tree["value"][n], tree["cover"][n], path))
-            continue
-        f, t, c = tree["feat"][n], tree["thr"][n], tree["cover"][n]
-        for child, go_left in ((tree["left"][n], True), (tree["right"][n], False)):
-            ratio = tree["cover"][child] / c if c > 0 else 0.0
-            stack.append((child, path + [(f, t, go_left, ratio)]))
-    return out
-
-
-def compile_model(model) -> dict:
-    trees, weights = extract_trees(model)
-    leaves, base = [], 0.0
-    for tree, w in zip(trees, weights):
-        root_cover = tree["cover"][0]
-        for value, cover, path in _leaves(tree):
-            base += 2.0 * w * value * (cover / root_cover if root_cover > 0 else 0.0)
-            feats = sorted({p[0] for p in path})
-            conds = {f: [(t, gl) for (ff, t, gl, _) in path if ff == f] for f in feats}
-            cov = np.array([np.prod([r for (ff, _, _, r) in path if ff == f]) for f in feats])
-            leaves.append((2.0 * w * value, feats, conds, cov))
-    return {"leaves": leaves, "base": base}
+from ledgerscope.operators.trees import Tree, TreeEnsemble, from_spark
+
+ROWS = 48                 # rows of a block
+
+
+class PathTree:
+    """One tree's edges in level order, the two edges of a node side by side."""
+
+    def __init__(self, tree: Tree):
+        self.expected = 0.0
+        node, parent_edge = [], []                 # child node and parent edge of each edge
+        level, self.bounds = [(0, -1)], [0]        # (inner node, the edge that leads to it)
+        while level:
+            level = [(n, e) for n, e in level if tree.left[n] >= 0]
+            below = []
+            for n, e in level:
+                for child in (int(tree.left[n]), int(tree.right[n])):
+                    below.append((child, len(node)))
+                    node.append(child)
+                    parent_edge.append(e)
+            if below:
+                self.bounds.append(len(node))
+            level = below
+        self.node = np.array(node, np.int64)
+        self.parent = np.array(parent_edge, np.int64)
+        n = len(node)
+        self.left = np.arange(n) % 2 == 0
+        up = np.where(self.parent >= 0, self.node[self.parent], 0) if n else np.zeros(0, np.int64)
+        self.feature, self.threshold = tree.feature[up], tree.threshold[up]
+        total = np.maximum(tree.cover[up], 1e-300)
+        share = tree.cover[self.node] / total if n else np.zeros(0)
+        self.leaf = tree.left[self.node] < 0 if n else np.zeros(0, bool)
+        self.value = np.where(self.leaf, tree.value[self.node], 0.0) if n else np.zeros(0)
+        # nearest edge above on the same feature, and the zero-fraction up to here
+        self.above, self.zero, reach = np.full(n, -1), share.copy(), share.copy()
+        for e in range(n):
+            a = self.parent[e]
+            if a >= 0:
+                reach[e] *= reach[a]
+            while a >= 0 and self.feature[a] != self.feature[e]:
+                a = self.parent[a]
+            self.above[e] = a
+            if a >= 0:
+                self.zero[e] *= self.zero[a]
+        self.expected = float((self.value * reach).sum()) if n else float(tree.value[0])
+
+    def levels(self) -> list[slice]:
+        return [slice(a, b) for a, b in zip(self.bounds, self.bounds[1:])]
+
+    def tables(self, t: np.ndarray, w: np.ndarray) -> None:
+        """Steps and gains for the three states of an edge: its one-fraction and that of the
+        edge above on the same feature are (0, 0), (0, 1) or (1, 1); 1 below 0 cannot be."""
+        n = len(self.node)
+        low = self.zero[:, None] * (1 - t)
+        factor = np.stack([low, low, low + t], 1)                            # (edges, states, points)
+        gain = (np.array([0.0, 0.0, 1.0])[:, None] - self.zero[:, None, None]) / factor
+        again = self.above >= 0
+        self.step, self.gain = factor.copy(), gain.copy()
+        state = [0, 2, 2]                                                    # the edge above, by state
+        self.step[again] /= factor[self.above[again]][:, state]
+        self.gain[again] -= gain[self.above[again]][:, state]
+        self.step, self.gain = self.step.reshape(3 * n, len(t)), (self.gain * w).reshape(3 * n, len(t))
+        self.repeats = [np.arange(lv.start, lv.stop)[again[lv]] for lv in self.levels()]
+        self.hot = np.zeros((int(self.feature.max(initial=-1)) + 1, n))
+        self.hot[self.feature, np.arange(n)] = 1.0
+
+    def explain(self, xt: np.ndarray, phi: np.ndarray, margin: np.ndarray) -> None:
+        """Add this tree's values for the rows xt (features, rows) to phi (features, rows) and margin."""
+        n = len(self.node)
+        if not n:
+            margin += self.expected
+            return
+        one = (xt[self.feature] <= self.threshold[:, None]) == self.left[:, None]
+        reach, state = one.copy(), np.ones(one.shape, np.int64)
+        for lv, has in zip(self.levels(), self.repeats, strict=True):
+            state[has] = one[self.above[has]]
+            one[has] &= one[self.above[has]]
+            if lv.start:
+                reach[lv] &= reach[self.parent[lv]]
+        margin += self.value[self.leaf] @ reach[self.leaf]
+        state += one
+        state += 3 * np.arange(n)[:, None]
+        prod = np.take(self.step, state, axis=0)                                              # (edges, rows, points): the path's product
+        for lv in self.levels()[1:]:
+            prod[lv] *= prod[self.parent[lv]]
+        prod *= self.value[:, None, None]                                    # becomes the sum over leaves below
+        for lv in self.levels()[:0:-1]:
+            prod[self.parent[lv][::2]] += prod[lv][::2] + prod[lv][1::2]
+        part = np.einsum("erq,erq->er", prod, np.take(self.gain, state, axis=0))
+        phi[:len(self.hot)] += self.hot @ part
+
+
+class Explainer:
+    """All trees of an ensemble, ready to explain rows."""
+
+    def __init__(self, model: TreeEnsemble, n_features: int):
+        self.paths = [PathTree(t) for t in model.trees]
+        self.n_features, self.start = n_features, model.base
+        self.base = model.base + sum(p.expected for p in self.paths)
+        depth = max((len(p.bounds) - 1 for p in self.paths), default=1)
+        # a path has at most ``depth`` features: without one of them degree depth - 1
+        t, w = np.polynomial.legendre.leggauss(max(1, (depth + 1) // 2))
+        for p in self.paths:
+            p.tables((t + 1) / 2, w / 2)
+
+    def explain(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phi (rows, features), margin) of the rows x."""
+        phi, margin = np.zeros((self.n_features, len(x))), np.full(len(x), self.start)
+        for lo in range(0, len(x), ROWS):
+            xt = np.ascontiguousarray(x[lo:lo + ROWS].T)
+            for p in self.paths:
+                p.explain(xt, phi[:, lo:lo + ROWS], margin[lo:lo + ROWS])
+        return phi.T, margin
+
+
+def ensemble(model) -> TreeEnsemble:
+    return model if isinstance(model, TreeEnsemble) else from_spark(model)
 
 
 def tree_attributions(df: DataFrame, model, features: list[str], keys: list[str]) -> DataFrame:
-    """Per row: keys, base_value, margin (log-odds) and phi_<feature> for every feature."""
-    compiled = compile_model(model)
-    tables = {d: _subset_tables(d) for d in range(0, 12)}
-    out_schema = T.StructType([df.schema[k] for k in keys]
-                              + [T.StructField("base_value", T.DoubleType()),
-                                 T.StructField("margin", T.DoubleType())]
-                              + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features])
-
-    def shap_batches(batches):
-        for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float)
-            phi = np.zeros_like(x)
-            margin = np.zeros(len(x))
-            for scale, feats, conds, cov in compiled["leaves"]:
-                d = len(feats)
-                a = np.ones((len(x), d))
-                for j, f in enumerate(feats):
-                    for t, go_left in conds[f]:
-                        a[:, j] *= (x[:, f] <= t) if go_left else (x[:, f] > t)
-                margin += scale * a.prod(axis=1)
-                if d == 0:
-                    continue
-                mask, weights = tables[d]
-                v = scale * np.where(mask[None, :, :], a[:, None, :], cov[None, None, :]).prod(axis=2)
-                phi[:, feats] += v @ weights
-            res = pdf[keys].copy()
-            res["base_value"] = compiled["base"]
-            res["margin"] = margin
-            for j, f in enumerate(features):
-                res[f"phi_{f}"] = phi[:, j]
-            yield res
-
-    return df.select(*keys, *features).mapInPandas(shap_batches, out_schema)
+    """Per row: keys, base_value, margin (log-odds) and phi_<feature> for every feature.
+    ``model``: a TreeEnsemble or a Spark boosted classifier."""
+    explainer = Explainer(ensemble(model), len(features))
+    schema = T.StructType([df.schema[k] for k in keys]
+                          + [T.StructField("base_value", T.DoubleType()), T.StructField("margin", T.DoubleType())]
+                          + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features])
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            phi, margin = explainer.explain(pdf[features].to_numpy(dtype=float))
+            out = pdf[keys].copy()
+            out["base_value"], out["margin"] = explainer.base, margin
+            yield pd.concat([out, pd.DataFrame(phi, columns=[f"phi_{f}" for f in features], index=out.index)], axis=1)
+    return df.select(*keys, *features).mapInPandas(batches, schema)
 
 
 def as_attribution_array(shap: DataFrame, features: list[str], values: DataFrame | None = None,
@@ -144,6 +174,3 @@ def as_attribution_array(shap: DataFrame, features: list[str], values: DataFrame
                        else F.lit(None).cast("double")).alias("feature_value"),
                       F.lit(i).alias("pos")) for i, f in enumerate(features)]
     return shap.withColumn(out, F.array(*items))
-
-
-__all__ = ["tree_attributions", "as_attribution_array", "compile_model", "pd"]
