@@ -48,9 +48,9 @@ def linear_attributions(df: DataFrame, model: LinearScorer, features: list[str],
 def top_drivers(df: DataFrame, col: str = "attributions", n: int = TOP_DRIVERS,
                 out: str = "top_drivers") -> DataFrame:
     """Top ``n`` by |shap_value| (ties keep feature order), values rounded to 4,
-    direction 'increases_risk' iff shap_value > 0."""
+    direction 'increases_risk' iff shap_value > 0; missing attributions are left out."""
     # natural struct ordering (-|phi|, position) sorts without a comparator lambda
-    keyed = F.transform(F.col(col), lambda s: F.struct(
+    keyed = F.transform(F.filter(col, lambda s: s["shap_value"].isNotNull()), lambda s: F.struct(
         (-F.abs(s["shap_value"])).alias("k"), s["pos"].alias("pos"), s["feature"].alias("feature"),
         s["shap_value"].alias("shap_value"), s["feature_value"].alias("feature_value")))
     ranked = F.sort_array(keyed, asc=True)
@@ -69,8 +69,9 @@ def global_importance(df: DataFrame, col: str = "attributions") -> DataFrame:
 
 
 def extreme_rows(df: DataFrame, p: str = "p", key: str = ID_COL) -> DataFrame:
-    """Highest- and lowest-probability rows (ties: smallest key) via max_by/min_by."""
-    agg = df.agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(p).alias("v")),
+    """Highest- and lowest-probability rows (ties: smallest key) via max_by/min_by; rows
+    without a probability are neither."""
+    agg = df.where(F.col(p).isNotNull()).agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(p).alias("v")),
                           F.struct(F.col(p), -F.col(key))).alias("hi"),
                  F.min_by(F.struct(F.col(key).alias("k"), F.col(p).alias("v")),
                           F.struct(F.col(p), F.col(key))).alias("lo"))

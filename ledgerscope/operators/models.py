@@ -8,19 +8,22 @@ number of features), so batch scoring stays inside whole-stage codegen.
 from __future__ import annotations
 
 import json
-import os
-import random
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass, field, fields
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerscope.operators import isotonic
+from ledgerscope.operators.boosting import Booster, BoosterParams, fit_booster
 from ledgerscope.operators.prep import ScalerModel
+from ledgerscope.operators.trees import TreeEnsemble
 from ledgerscope.schema import TARGET
 
 # ----------------------------------------------------------------------------------
@@ -28,7 +31,7 @@ from ledgerscope.schema import TARGET
 # ----------------------------------------------------------------------------------
 LOGISTIC_DEFAULTS = {"C": 1.0, "max_iter": 1000}
 BOOSTER_DEFAULTS = {"n_estimators": 300, "max_depth": 5, "learning_rate": 0.05, "subsample": 0.8,
-                    "colsample_bytree": 0.8, "min_child_weight": 3}
+                    "colsample_bytree": 0.8, "min_child_weight": 3, "reg_alpha": 0.1, "reg_lambda": 1.0}
 FALLBACK_BOOSTER = {"n_estimators": 200, "max_depth": 4, "learning_rate": 0.08, "subsample": 0.8}
 SEARCH_SPACE = {   # (low, high, log-scaled)
     "n_estimators": (100, 500, False), "max_depth": (3, 8, False),
@@ -78,18 +81,24 @@ def train_logistic(train: DataFrame, features: list[str], label: str = TARGET,
 
 # ------------------------------------------------------------------- M2/M3 trees
 def train_booster(train: DataFrame, features: list[str], label: str = TARGET,
-                  params: dict | None = None, fallback: bool = False):
-    """Gradient-boosted trees with the original presets; positive rows weighted by
-    n_neg / n_pos. (No L1/L2 leaf penalties in Spark; min_child_weight maps to
-    minInstancesPerNode.)"""
-    p = dict(FALLBACK_BOOSTER if fallback else BOOSTER_DEFAULTS, **(params or {}))
+                  params: dict | None = None, stop=None) -> Booster:
+    """Second-order boosted trees with the original preset; positive rows weighted by
+    n_neg / n_pos."""
+    known = {f.name for f in fields(BoosterParams)}
+    p = {k: v for k, v in dict(BOOSTER_DEFAULTS, **(params or {})).items() if k in known}
+    p |= {"n_estimators": int(p["n_estimators"]), "max_depth": int(p["max_depth"])}
+    spw = class_weights(train, label).first()["scale_pos_weight"]
+    return fit_booster(with_weights(train, float(spw), 1.0, label), features, label, "w", BoosterParams(**{"seed": SEED, **p}), stop)
+
+
+def train_fallback_booster(train: DataFrame, features: list[str], label: str = TARGET, params: dict | None = None):
+    """M3: Spark's own boosted trees with the fallback preset, positive rows weighted alike."""
+    p = dict(FALLBACK_BOOSTER, **(params or {}))
     spw = class_weights(train, label).first()["scale_pos_weight"]
     df = with_weights(train, float(spw), 1.0, label)
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="w",
                         maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
-                        stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-                        featureSubsetStrategy=str(p.get("colsample_bytree", "all")),
-                        minInstancesPerNode=int(p.get("min_child_weight", 1)), seed=SEED)
+                        stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]), seed=SEED)
     return gbt.fit(assemble(df, features))
 
 
@@ -97,11 +106,24 @@ def feature_importances(model, features: list[str]) -> DataFrame:
     """M6: importances as a (feature, importance) frame (bounded by #features)."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    imp = model.featureImportances.toArray().tolist()
+    if isinstance(model, Booster):
+        imp = model.ensemble.importances(model.gains, len(features)).tolist()
+    else:
+        imp = model.featureImportances.toArray().tolist()
     return spark.createDataFrame([(f, float(v), i) for i, (f, v) in enumerate(zip(features, imp))],
                                  "feature string, importance double, pos int")
 
 
+def tree_probability(model: TreeEnsemble, df: DataFrame, features: list[str], out: str = "p_raw") -> DataFrame:
+    """df with the probability of a tree ensemble, one pass over Arrow batches."""
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pdf.assign(**{out: model.probability(pdf[features].to_numpy(dtype=float))})
+    return df.mapInPandas(run, schema)
+
+
 def raw_probability(model, df: DataFrame, features: list[str], out: str = "p_raw") -> DataFrame:
     """Positive-class probability of a fitted Spark ML classifier."""
     scored = model.transform(assemble(df, features))
@@ -117,18 +139,14 @@ def logistic_as_columns(model, features: list[str]):
 
 
 # ---------------------------------------------------------------- C1/C2 calibration
-def fit_isotonic(val: DataFrame, p: str = "p_raw", label: str = TARGET) -> IsotonicRegressionModel:
+def fit_isotonic(val: DataFrame, p: str = "p_raw", label: str = TARGET) -> isotonic.IsotonicFit:
     """Isotonic regression of the label on the raw probability (ties pooled by mean,
-    clamped outside the fitted range). Spark pools per partition and merges the
-    pooled blocks, whose number is bounded by the distinct scores."""
-    return IsotonicRegression(featuresCol=p, labelCol=label, predictionCol="p_cal",
-                              isotonic=True).fit(val.select(p, label))
+    clamped outside the fitted range); see ``operators.isotonic``."""
+    return isotonic.fit(val, p, label)
 
 
-def apply_isotonic(model: IsotonicRegressionModel, df: DataFrame, p: str = "p_raw",
-                   out: str = "p") -> DataFrame:
-    res = model.setFeaturesCol(p).setPredictionCol("_iso").transform(df)
-    return res.withColumn(out, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_iso")))).drop("_iso")
+def apply_isotonic(model: isotonic.IsotonicFit, df: DataFrame, p: str = "p_raw", out: str = "p") -> DataFrame:
+    return model.apply(df, p, out)
 
 
 @dataclass
@@ -161,37 +179,6 @@ def hard_prediction(df: DataFrame, p: str = "p", threshold: float = 0.5) -> Data
     return df.withColumn("prediction", (F.col(p) >= threshold).cast("int"))
 
 
-# ------------------------------------------------------------------ M5 search
-def random_search(train: DataFrame, val: DataFrame, features: list[str], n_trials: int = 10,
-                  label: str = TARGET, seed: int = SEED, max_trees: int | None = None) -> DataFrame:
-    """Random search over the original ranges (log-uniform where marked), each trial
-    scored by exact validation ROC-AUC. Trials run one after another; each is itself
-    a distributed fit. Returns (trial, params json, roc_auc)."""
-    from pyspark.sql import SparkSession
-
-    from ledgerscope.operators.metrics import roc_auc
-    rng = random.Random(seed)
-    spark = SparkSession.getActiveSession()
-    results = []
-    for t in range(n_trials):
-        params = {}
-        for k, (lo, hi, log) in SEARCH_SPACE.items():
-            if isinstance(lo, int) and isinstance(hi, int) and not log:
-                params[k] = rng.randint(lo, hi)
-            elif log:
-                import math
-                params[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                params[k] = rng.uniform(lo, hi)
-        if max_trees:
-            params["n_estimators"] = min(params["n_estimators"], max_trees)
-        model = train_booster(train, features, label, params)
-        pv = raw_probability(model, val, features).select(F.col(label).alias("y"), F.col("p_raw").alias("p"))
-        auc = roc_auc(pv).first()["roc_auc"]
-        results.append((t, json.dumps(params, sort_keys=True), float(auc) if auc is not None else None))
-    return spark.createDataFrame(results, "trial int, params string, roc_auc double")
-
-
 # -------------------------------------------------------------- S11/S12 registry
 @dataclass
 class ModelBundle:
@@ -199,35 +186,49 @@ class ModelBundle:
     features: list[str]
     scaler: ScalerModel
     model: object
-    kind: str                         # "logistic" | "booster"
-    isotonic: IsotonicRegressionModel | None = None
+    kind: str                         # "logistic" | "trees" | "booster" (Spark's own trees) | "linear" (fixed)
+    isotonic: isotonic.IsotonicFit | None = None
     meta: dict = field(default_factory=dict)
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        """Adds p_raw and p (calibrated when a calibrator exists)."""
+    def aligned(self, df: DataFrame) -> DataFrame:
+        """Model columns in order and scaled, all other columns kept."""
         from ledgerscope.operators.prep import align_features
         # absent columns are filled on the raw scale, before scaling
         keep = [c for c in df.columns if c not in self.features]
-        aligned = self.scaler.transform(align_features(df, self.features, keep=keep))
-        if self.kind == "logistic":
-            lin = logistic_as_columns(self.model, self.features)
+        return self.scaler.transform(align_features(df, self.features, keep=keep))
+
+    def calibrated(self, df: DataFrame) -> DataFrame:
+        """p from p_raw."""
+        return self.isotonic.apply(df, "p_raw", "p") if self.isotonic is not None else df.withColumn("p", F.col("p_raw"))
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Adds p_raw and p (calibrated when a calibrator exists)."""
+        aligned = self.aligned(df)
+        if self.kind in ("logistic", "linear"):
+            lin = self.model if self.kind == "linear" else logistic_as_columns(self.model, self.features)
             out = aligned.withColumn("p_raw", lin.probability())
+        elif self.kind == "trees":
+            out = tree_probability(self.model.ensemble, aligned, self.features)
         else:
             out = raw_probability(self.model, aligned, self.features)
-        if self.isotonic is not None:
-            return apply_isotonic(self.isotonic, out, "p_raw", "p")
-        return out.withColumn("p", F.col("p_raw"))
+        return self.calibrated(out)
 
     def save(self, path: str) -> None:
-        os.makedirs(path, exist_ok=True) if "://" not in path else None
-        self.model.write().overwrite().save(f"{path}/model")
-        if self.isotonic is not None:
-            self.isotonic.write().overwrite().save(f"{path}/isotonic")
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
         meta = {"features": self.features, "kind": self.kind, "scaler": self.scaler.to_rows(),
                 "scaler_columns": self.scaler.columns, "meta": self.meta,
                 "has_calibrator": self.isotonic is not None}
+        if self.kind == "trees":
+            meta["gains"] = [g.tolist() for g in self.model.gains]
+            spark.createDataFrame([(self.model.ensemble.to_json(),)], "model string").coalesce(1).write.mode(
+                "overwrite").text(f"{path}/model")
+        elif self.kind == "linear":
+            meta["linear"] = [self.model.intercept, self.model.coefs]
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
+        if self.isotonic is not None:
+            self.isotonic.save(f"{path}/isotonic")
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
 
@@ -235,25 +236,32 @@ class ModelBundle:
 def load_bundle(path: str) -> ModelBundle:
     from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
     from pyspark.sql import SparkSession
+
+    from ledgerscope.operators.attribution import LinearScorer
     spark = SparkSession.getActiveSession()
     try:
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     except Exception as exc:  # noqa: BLE001
         raise FileNotFoundError(f"No model artefact at {path}; run the training job first.") from exc
-    cls = LogisticRegressionModel if meta["kind"] == "logistic" else GBTClassificationModel
-    model = cls.load(f"{path}/model")
+    if meta["kind"] == "trees":
+        model = Booster(TreeEnsemble.from_json(spark.read.text(f"{path}/model").first()[0]), [np.array(g) for g in meta["gains"]])
+    elif meta["kind"] == "linear":
+        model = LinearScorer(*meta["linear"])
+    else:
+        model = (LogisticRegressionModel if meta["kind"] == "logistic" else GBTClassificationModel).load(f"{path}/model")
     # a damaged calibrator is an error, never an uncalibrated model
-    iso = IsotonicRegressionModel.load(f"{path}/isotonic") if meta["has_calibrator"] else None
+    iso = isotonic.load(spark, f"{path}/isotonic") if meta["has_calibrator"] else None
     sc = ScalerModel(meta["scaler_columns"], {r[0]: r[1] for r in meta["scaler"]},
                      {r[0]: r[2] for r in meta["scaler"]})
     return ModelBundle(meta["features"], sc, model, meta["kind"], iso, meta.get("meta", {}))
 
 
 def list_artifacts(root: str) -> list[str]:
-    """Sorted artefact names under a local registry folder."""
-    if not os.path.isdir(root):
+    """Sorted artefact names under a registry folder of any file system that Spark reads."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return []
-    return sorted(d for d in os.listdir(root) if os.path.isdir(os.path.join(root, d)))
-
-
-__all__ = ["Pipeline", "PipelineModel"]
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())

@@ -53,7 +53,8 @@ credit_all AS (
                  + CASE WHEN GREATEST({_STAT}) > 1 THEN 25 ELSE 0 END
          THEN 1 ELSE 0 END AS INTEGER) AS default_payment_next_month
   FROM credit_sn LEFT JOIN customer ON c_custkey = o_custkey),
-credit AS (SELECT * FROM credit_all WHERE BILL_AMT6 IS NOT NULL)"""
+credit AS (SELECT * FROM credit_all),
+credit_full AS (SELECT * FROM credit_all WHERE BILL_AMT6 IS NOT NULL)"""
 
 
 def with_ctes(*ctes: str) -> str:

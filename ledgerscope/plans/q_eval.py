@@ -13,8 +13,9 @@ from ledgerscope.operators import metrics as M
 from ledgerscope.operators import prep
 from ledgerscope.operators.scoring import build_score_output
 from ledgerscope.plans import oracle_sql as O
-from ledgerscope.plans.queries import credit, features, register, round_doubles, sql
+from ledgerscope.plans.queries import features, register, round_doubles, sql
 from ledgerscope.schema import TARGET
+from ledgerscope.sources import credit as src
 
 d = O.d
 LATE_P = f"ROUND({d(1.0)} / ({d(1.0)} + EXP(-({d(-2.5)} + {d(1.0)} * delinquency_count))), 4)"
@@ -39,7 +40,7 @@ SPLIT = f"""sp AS (
          ROW_NUMBER() OVER (PARTITION BY default_payment_next_month
                             ORDER BY ((ID % 2147483647) * 48271) % 2147483647, ID) AS r,
          COUNT(*) OVER (PARTITION BY default_payment_next_month) AS nc
-  FROM credit),
+  FROM credit_full),
 sp2 AS (SELECT *, CAST(CEIL(nc * {d(prep.TEST_SIZE)}) AS BIGINT) AS nt FROM sp),
 splits AS (
   SELECT ID, y, CASE WHEN r <= nt THEN 'test'
@@ -49,7 +50,7 @@ splits AS (
 
 
 def split_frame(spark, sf):
-    return prep.stratified_split(credit(spark, sf))
+    return prep.stratified_split(src.credit(spark, sf))
 
 
 @register("stratified_split", sql(O.CREDIT_ALL, SPLIT, body="SELECT ID, split FROM splits"))
@@ -211,7 +212,8 @@ def q_calibration_curve(spark, sf):
 
 
 # --------------------------------------------------------------------- cost
-COST = f"""sc AS (SELECT model, y, CAST(LEAST(100, GREATEST(0, round_even(p * 100, 0))) AS INTEGER) AS s FROM ev),
+COST = f"""sc AS (SELECT model, y, CAST(LEAST(100, GREATEST(0, round_even(p * 100, 0))) AS INTEGER) AS s
+       FROM ev WHERE p IS NOT NULL),
 cuts AS (SELECT * FROM range(0, 101) AS t(cutoff)),
 cc AS (SELECT sc.model, CAST(c.cutoff AS INTEGER) AS cutoff,
               COUNT(*) FILTER (WHERE sc.y = 1 AND sc.s < c.cutoff) AS fn,

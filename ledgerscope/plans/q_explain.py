@@ -6,13 +6,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerscope.functions.scoring import demo_margin, sigmoid
 from ledgerscope.operators import attribution as A
 from ledgerscope.operators import models as MD
 from ledgerscope.operators import prep
+from ledgerscope.operators import scoring as sc
+from ledgerscope.operators.explain import score_with_drivers
 from ledgerscope.plans import oracle_sql as O
 from ledgerscope.plans.q_eval import SPLIT, split_frame
-from ledgerscope.plans.queries import credit, features, register, round_doubles, scored, sql
-from ledgerscope.schema import (DERIVED_COLS, FEATURE_INPUT_COLS, GENERIC_NAMES, MODEL_FEATURES,
+from ledgerscope.plans.queries import (credit, features, register, round_doubles, scored, sql,
+                                        training_features)
+from ledgerscope.schema import (DERIVED_COLS, EXPECTED_COLUMNS, FEATURE_INPUT_COLS, GENERIC_NAMES, MODEL_FEATURES,
                                 SCALE_COLS, TARGET)
 from ledgerscope.sources.tables import remap_columns
 
@@ -37,16 +41,14 @@ SCALED = ("sc AS (SELECT feat.ID, " + ", ".join(
 
 
 def _train_scaler(spark, sf):
-    f = features(spark, sf)
-    train = prep.stratified_split(f).where(F.col("split") == "train")
-    return f, prep.fit_scaler(train.select(*SCALE_COLS))
+    train = prep.stratified_split(training_features(spark, sf)).where(F.col("split") == "train")
+    return features(spark, sf), prep.fit_scaler(train.select(*SCALE_COLS))
 
 
 @register("scaler_fit", sql(*FEAT_SPLIT, STATS, body=" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, ROUND(m_{c}, 6) AS mean, ROUND(s_{c}, 6) AS std FROM st" for c in SCALE_COLS)))
 def q_scaler_fit(spark, sf):
-    f = features(spark, sf)
-    train = prep.stratified_split(f).where(F.col("split") == "train")
+    train = prep.stratified_split(training_features(spark, sf)).where(F.col("split") == "train")
     return round_doubles(prep.scaler_stats(train, SCALE_COLS))
 
 
@@ -163,7 +165,8 @@ def q_linear_attribution(spark, sf):
 SELECT ID, CAST(rk AS INTEGER) AS rank, feature, ROUND(shap_value, 4) AS shap_value,
        ROUND(feature_value, 4) AS feature_value,
        CASE WHEN shap_value > 0 THEN 'increases_risk' ELSE 'decreases_risk' END AS direction
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ID ORDER BY ABS(shap_value) DESC, pos) AS rk FROM attr)
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ID ORDER BY ABS(shap_value) DESC, pos) AS rk FROM attr
+      WHERE shap_value IS NOT NULL)
 WHERE rk <= 5"""))
 def q_top_drivers(spark, sf):
     t = A.top_drivers(_attr_frame(spark, sf))
@@ -179,13 +182,73 @@ def q_global_importance(spark, sf):
 
 
 @register("extreme_customers", sql(*O.BASE, body="""
-SELECT * FROM (SELECT 'highest' AS which, ID, p FROM scored ORDER BY p DESC, ID LIMIT 1)
+SELECT * FROM (SELECT 'highest' AS which, ID, p FROM scored WHERE p IS NOT NULL ORDER BY p DESC, ID LIMIT 1)
 UNION ALL
-SELECT * FROM (SELECT 'lowest' AS which, ID, p FROM scored ORDER BY p ASC, ID LIMIT 1)"""))
+SELECT * FROM (SELECT 'lowest' AS which, ID, p FROM scored WHERE p IS NOT NULL ORDER BY p ASC, ID LIMIT 1)"""))
 def q_extreme_customers(spark, sf):
     return A.extreme_rows(scored(spark, sf), "p", "ID")
 
 
+# ------------------------------------------------------------ batch score (C8), drivers (C7), isotonic
+ALL_FEAT = [O.CREDIT_ALL, O.clean_cte(), O.feat_cte(), O.scored_cte()]
+
+
+@register("batch_score", sql(*ALL_FEAT, body=f"""
+SELECT c.ID, c.AS_OF, {', '.join('c.' + x for x in EXPECTED_COLUMNS)}, s.default_probability, s.risk_score, s.risk_band
+FROM credit c JOIN scored s USING (ID)"""))
+def q_batch_score(spark, sf):
+    """C8 on every snapshot: the original columns and the three score columns."""
+    return sc.batch_score(credit(spark, sf), sc.demo_predictor).select(
+        "ID", "AS_OF", *EXPECTED_COLUMNS, "default_probability", "risk_score", "risk_band")
+
+
+_ATTR_MARGIN = d(ATTR_MODEL.intercept)
+for _c, _w in ATTR_MODEL.coefs.items():
+    _ATTR_MARGIN = f"({_ATTR_MARGIN} + {d(_w)} * CAST({_c} AS DOUBLE))"
+_ATTR_P = f"({d(1.0)} / ({d(1.0)} + EXP(-{_ATTR_MARGIN})))"
+
+
+@register("score_with_drivers", sql(*ATTR_ALL, body=f"""
+, pr AS (SELECT ID, {_ATTR_P} AS p FROM sc),
+rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ID ORDER BY ABS(shap_value) DESC, pos) AS rk FROM attr
+       WHERE shap_value IS NOT NULL)
+SELECT pr.ID, ROUND(p, 4) AS default_probability, {O.score_sql('p')} AS risk_score, {O.band_sql(O.score_sql('p'))} AS risk_band,
+       CAST(rk AS INTEGER) AS rank, feature, ROUND(shap_value, 4) AS shap_value, ROUND(feature_value, 4) AS feature_value,
+       CASE WHEN shap_value > 0 THEN 'increases_risk' ELSE 'decreases_risk' END AS direction
+FROM pr LEFT JOIN rk ON rk.ID = pr.ID AND rk.rk <= 5"""))
+def q_score_with_drivers(spark, sf):
+    """C7 on every snapshot: score, band and the five largest attributions of the fixed model."""
+    _, scaler = _train_scaler(spark, sf)
+    bundle = MD.ModelBundle(list(MODEL_FEATURES), scaler, ATTR_MODEL, "linear")
+    got = score_with_drivers(credit(spark, sf), bundle)
+    return got.select("ID", "default_probability", "risk_score", "risk_band",
+                      F.posexplode_outer("top_drivers").alias("rank0", "t")).select(
+        "ID", "default_probability", "risk_score", "risk_band", (F.col("rank0") + 1).cast("int").alias("rank"),
+        "t.feature", "t.shap_value", "t.feature_value", "t.direction")
+
+
+RAW_P = O.DEMO_P.removeprefix("ROUND(").removesuffix(", 4)")
+ISO_EXACT = f"""up AS (SELECT feat.ID, {RAW_P} AS x, split, y FROM feat JOIN splits USING (ID)),
+ux AS (SELECT x, SUM(y) AS sy, COUNT(*) AS n FROM up WHERE split = 'val' AND x IS NOT NULL GROUP BY x),
+ur AS (SELECT *, ROW_NUMBER() OVER (ORDER BY x) AS i, SUM(sy) OVER (ORDER BY x) AS cs, SUM(n) OVER (ORDER BY x) AS cn FROM ux),
+um AS (SELECT a.i AS lo, b.i AS hi, CAST(b.cs - a.cs + a.sy AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS m
+       FROM ur a JOIN ur b ON a.i <= b.i),
+un AS (SELECT lo, hi, MIN(m) OVER (PARTITION BY lo ORDER BY hi DESC) AS mn FROM um),
+pt AS (SELECT ur.x, f.fitted FROM ur JOIN (SELECT hi, MAX(mn) AS fitted FROM un GROUP BY hi) f ON f.hi = ur.i)"""
+
+
+@register("calibrate_isotonic_exact", sql(*FEAT_SPLIT, ISO_EXACT, body="""
+SELECT t.ID, ROUND(CASE WHEN l.x IS NULL THEN u.fitted WHEN u.x IS NULL OR u.x = l.x THEN l.fitted
+       ELSE l.fitted + (u.fitted - l.fitted) * (t.x - l.x) / (u.x - l.x) END, 6) AS p_calibrated
+FROM (SELECT * FROM up WHERE split = 'test') t
+ASOF LEFT JOIN pt l ON t.x >= l.x ASOF LEFT JOIN pt u ON t.x <= u.x"""))
+def q_calibrate_isotonic_exact(spark, sf):
+    """C1 on the unrounded probability: fitted on the validation split, applied to the test split."""
+    f = prep.stratified_split(training_features(spark, sf)).select("ID", "split", TARGET, sigmoid(demo_margin()).alias("p_raw"))
+    fit = MD.fit_isotonic(f.where(F.col("split") == "val"))
+    return round_doubles(fit.apply(f.where(F.col("split") == "test").select("ID", "p_raw"), out="p_calibrated").drop("p_raw"))
+
+
 DER = DERIVED_COLS
 
 

@@ -57,16 +57,22 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def credit(spark: SparkSession, sf: str) -> DataFrame:
-    return src.credit(spark, sf)
+    """All snapshots; those with fewer than six months have NULL older months."""
+    return src.credit_all(spark, sf)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
+    return sc.featurize(credit(spark, sf))
+
+
+def training_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots with all six months: what split, scaler and models are fitted on."""
     return sc.featurize(src.credit(spark, sf))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """credit -> clean -> derive -> fixed demo model -> score output."""
-    return sc.score_frame(src.credit(spark, sf), sc.demo_predictor)
+    return sc.score_frame(credit(spark, sf), sc.demo_predictor)
 
 
 def sql(*ctes: str, body: str) -> str:

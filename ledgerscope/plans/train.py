@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from ledgerscope.operators import prep, quality
 from ledgerscope.operators.features import add_derived_features
 from ledgerscope.operators.scoring import band_summary, batch_score, build_score_output
 from ledgerscope.schema import MODEL_FEATURES, SCALE_COLS, TARGET
+from ledgerscope.session import stored
 
 
 @dataclass
@@ -31,6 +31,7 @@ class TrainResult:
     comparison: DataFrame
     metrics: DataFrame
     importances: DataFrame
+    split: DataFrame              # the stored rows with their split
 
 
 def _eval(bundle: MD.ModelBundle, df: DataFrame, name: str, calibrated: bool = True) -> DataFrame:
@@ -44,7 +45,7 @@ def train(raw: DataFrame, booster_params: dict | None = None, validate: bool = T
         raise ValueError("Validation failed; training aborted:\n"
                          + quality.render_report(quality.validation_report(raw.drop("ID", "AS_OF"))))
     feats = add_derived_features(prep.clean_raw(raw, keep_id=True))
-    split = prep.stratified_split(feats).persist(StorageLevel.MEMORY_AND_DISK)
+    split = stored(prep.stratified_split(feats), "split")
     train_df = split.where(F.col("split") == "train")
     val_df = split.where(F.col("split") == "val")
     test_df = split.where(F.col("split") == "test")
@@ -54,17 +55,17 @@ def train(raw: DataFrame, booster_params: dict | None = None, validate: bool = T
     lr = MD.train_logistic(scaler.transform(train_df), features)
     lr_bundle = MD.ModelBundle(features, scaler, lr, "logistic")
     gbt = MD.train_booster(scaler.transform(train_df), features, params=booster_params)
-    raw_bundle = MD.ModelBundle(features, scaler, gbt, "booster")
+    raw_bundle = MD.ModelBundle(features, scaler, gbt, "trees")
     val_raw = raw_bundle.predict(val_df).select("p_raw", TARGET)
     iso = MD.fit_isotonic(val_raw, "p_raw", TARGET)
-    cal_bundle = MD.ModelBundle(features, scaler, gbt, "booster", iso)
+    cal_bundle = MD.ModelBundle(features, scaler, gbt, "trees", iso)
 
     ev = (_eval(lr_bundle, test_df, "logistic")
           .unionByName(_eval(raw_bundle, test_df, "booster_raw", calibrated=False))
           .unionByName(_eval(cal_bundle, test_df, "booster_calibrated")))
-    metrics = M.compute_metrics(ev, ["model"])
+    metrics = M.compute_metrics(stored(ev, "evaluation"), ["model"])
     return TrainResult(lr_bundle, cal_bundle, M.compare_models(metrics), metrics,
-                       MD.feature_importances(gbt, features))
+                       MD.feature_importances(gbt, features), split)
 
 
 def batch_score_job(raw: DataFrame, bundle: MD.ModelBundle, output_path: str | None = None,

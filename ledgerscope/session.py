@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so dates agree with SQL engines, ANSI on so
 # overflow and bad casts fail loudly, AQE on so partition counts and skewed joins
@@ -57,3 +59,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared folder and read back: later plans scan it with pruned
+    columns, its lineage is cut, and it survives lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def state_of(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of names, lengths and times of the files at ``paths``: other data, other digest."""
+    jvm, conf, seen = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        todo = [path]
+        while todo:
+            for s in fs.listStatus(todo.pop()):
+                if s.isDirectory():
+                    todo.append(s.getPath())
+                else:
+                    seen.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()

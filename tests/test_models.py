@@ -54,7 +54,8 @@ def test_sigmoid_calibration_monotone(spark, raw_df):
     assert ps == sorted(ps) or ps == sorted(ps, reverse=True)
 
 
-def test_treeshap_additivity_and_dummy_features(trained, raw_df):
+def test_treeshap_of_both_boosters(trained, raw_df):
+    """Our trees and Spark's: attributions add up to the margin, unused features get nothing."""
     from pyspark.ml.functions import vector_to_array
 
     from ledgerscope.operators import treeshap
@@ -63,13 +64,25 @@ def test_treeshap_additivity_and_dummy_features(trained, raw_df):
     from ledgerscope.operators.prep import clean_raw
     b = trained.booster
     x = b.scaler.transform(add_derived_features(clean_raw(raw_df, keep_id=True)))
-    shap = treeshap.tree_attributions(x, b.model, b.features, ["ID"]).toPandas().set_index("ID")
-    raw = (b.model.transform(assemble(x, b.features))
-           .select("ID", (2 * vector_to_array("rawPrediction")[1]).alias("m")).toPandas().set_index("ID"))
-    phis = shap[[f"phi_{f}" for f in b.features]].sum(axis=1)
-    assert ((shap["base_value"] + phis - raw.loc[shap.index, "m"]).abs() < 1e-9).all()
-    assert ((shap["margin"] - raw.loc[shap.index, "m"]).abs() < 1e-9).all()
-    used = set(int(i) for i in b.model.featureImportances.indices)
-    for j, f in enumerate(b.features):
-        if j not in used:
-            assert (shap[f"phi_{f}"].abs() < 1e-12).all()
+    spark_model = MD.train_fallback_booster(x, b.features, params={"n_estimators": 5})
+    for model, raw, used in (
+            (b.model.ensemble, MD.tree_probability(b.model.ensemble, x, b.features).select("ID", F.log(F.col("p_raw") / (1 - F.col("p_raw"))).alias("m")),
+             {int(f) for t in b.model.ensemble.trees for f in t.feature[t.left >= 0]}),
+            (spark_model, spark_model.transform(assemble(x, b.features)).select("ID", (2 * vector_to_array("rawPrediction")[1]).alias("m")),
+             {int(i) for i in spark_model.featureImportances.indices})):
+        shap = treeshap.tree_attributions(x, model, b.features, ["ID"]).toPandas().set_index("ID")
+        want = raw.toPandas().set_index("ID").loc[shap.index, "m"]
+        phis = shap[[f"phi_{f}" for f in b.features]].sum(axis=1)
+        assert ((shap["base_value"] + phis - want).abs() < 1e-9).all()
+        assert ((shap["margin"] - want).abs() < 1e-9).all()
+        for j, f in enumerate(b.features):
+            if j not in used:
+                assert (shap[f"phi_{f}"].abs() < 1e-12).all()
+
+
+def test_list_artifacts(spark, trained):
+    root = tempfile.mkdtemp(prefix="ls-registry-")
+    assert MD.list_artifacts(root + "/none") == []
+    for name in ("b", "a"):
+        trained.logistic.save(f"{root}/{name}")
+    assert MD.list_artifacts(root) == MD.list_artifacts("file://" + root) == ["a", "b"]
