@@ -75,3 +75,23 @@ SELECT window_start, COALESCE(CAST(n_requests AS BIGINT), 0) AS n_requests, CAST
 FROM wa LEFT JOIN wpsi USING (window_start)"""))
 def q_stream_score_shift(spark, sf):
     return S.stream_score_shift(spark, sf)
+
+
+ROLL = SHIFT + f""",
+roll AS (SELECT ts, CASE WHEN risk_score IS NULL THEN {S.UNSCORED_BIN} ELSE {_BIN} END AS bin FROM req
+         WHERE ts IS NOT NULL ORDER BY ts DESC, event_id DESC LIMIT {S.WINDOW}),
+rb AS (SELECT b.bin, (SELECT COUNT(*) FROM roll WHERE roll.bin = b.bin) AS c, COALESCE(rh.r, 0) AS r
+       FROM bins b LEFT JOIN rh USING (bin)),
+rn AS (SELECT SUM(c) AS nc, SUM(r) AS nr FROM rb),
+rp AS (SELECT SUM(((CAST(c AS DOUBLE) / nc + {d(1e-6)}) - (CAST(r AS DOUBLE) / nr + {d(1e-6)}))
+                  * LN((CAST(c AS DOUBLE) / nc + {d(1e-6)}) / (CAST(r AS DOUBLE) / nr + {d(1e-6)}))) AS psi
+       FROM rb CROSS JOIN rn WHERE c > 0 OR r > 0)"""
+
+
+@register("stream_rolling_window", sql(*ALL, O.clean_cte(), O.feat_cte(), O.scored_cte(), ROUTED, ROLL, body="""
+SELECT MIN(ts) AS first_ts, MAX(ts) AS last_ts, COUNT(*) FILTER (WHERE bin >= 0) AS n_requests,
+       COUNT(*) FILTER (WHERE bin < 0) AS n_unscored, ROUND(MAX(rp.psi), 4) AS psi, ROUND(MAX(rp.psi), 4) > 0.2 AS shifted
+FROM roll CROSS JOIN rp"""))
+def q_stream_rolling_window(spark, sf):
+    out = S.stream_rolling_window(spark, sf)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})

@@ -103,18 +103,21 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*cols)
 
 
+def version(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a source file of the credit table does."""
+    return state_of(spark, [f"{sf_dir}/{t}.parquet" for t in ("customer", "orders", "lineitem")])
+
+
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def credit_all(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> DataFrame:
     """The stored form of ``derive``, built by the first call; built again when a source file
     has changed. ``keep_customer`` keeps CUSTOMER_ID."""
-    files = [f"{sf_dir}/{t}.parquet" for t in ("customer", "orders", "lineitem")]
-    key = (spark.sparkContext.applicationId, sf_dir, state_of(spark, files))
+    key = (spark.sparkContext.applicationId, sf_dir, version(spark, sf_dir))
     if key not in _STORED:
         _STORED[key] = stored(derive(spark, sf_dir), "credit")
-    got = spark.read.parquet(*_STORED[key].inputFiles()) if _STORED[key].sparkSession is not spark else _STORED[key]
-    return got if keep_customer else got.drop("CUSTOMER_ID")
+    return _STORED[key] if keep_customer else _STORED[key].drop("CUSTOMER_ID")
 
 
 def credit(spark: SparkSession, sf_dir: str, keep_customer: bool = False) -> DataFrame:

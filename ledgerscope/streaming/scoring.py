@@ -15,6 +15,8 @@ Each micro-batch writes the folder ``epoch=N`` of its output in overwrite mode,
 batch that is run again replaces its own rows. With a ``work`` folder a restarted query
 resumes from the checkpoint in it; without one every call starts anew.
 
+* Z4 ``stream_rolling_window``: the last WINDOW requests, kept in rings that are state.
+
 T2/T3 use ``update`` output: a batch writes the windows it changed, a reader takes the
 last epoch of each window, and state of windows older than the watermark is dropped with
 rows that arrive later than that. Requests without a time are in T1 only.
@@ -22,15 +24,18 @@ rows that arrive later than that. Requests without a time are in T1 only.
 
 from __future__ import annotations
 
+import heapq
 import uuid
+from collections import Counter
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerscope.operators.quality import check_records
 from ledgerscope.operators.scoring import demo_predictor, score_frame
-from ledgerscope.session import checkpoint_dir
+from ledgerscope.session import checkpoint_dir, stored
 from ledgerscope.sources import credit as src
 from ledgerscope.schema import PSI_EPS
 
@@ -60,13 +65,20 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
 
 
+_VERSIONS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static side: latest snapshot per customer, checked, and scored by the fixed model;
-    ``problem`` holds what the record check rejects."""
-    latest = check_records(src.latest_snapshot(spark, sf_dir))
-    return score_frame(latest, demo_predictor).select(
-        "CUSTOMER_ID", "ID", "default_probability", "risk_score", "risk_band",
-        F.when(~F.col("valid"), F.array_join("errors", "; ")).alias("problem"))
+    ``problem`` holds what the record check rejects. Derived and stored once for each state
+    of the source files; micro-batches join the stored version."""
+    key = (spark.sparkContext.applicationId, sf_dir, src.version(spark, sf_dir))
+    if key not in _VERSIONS:
+        latest = check_records(src.latest_snapshot(spark, sf_dir))
+        _VERSIONS[key] = stored(score_frame(latest, demo_predictor).select(
+            "CUSTOMER_ID", "ID", "default_probability", "risk_score", "risk_band",
+            F.when(~F.col("valid"), F.array_join("errors", "; ")).alias("problem")), "customers")
+    return _VERSIONS[key]
 
 
 def route_requests(events: DataFrame, customers: DataFrame) -> DataFrame:
@@ -90,9 +102,13 @@ def run_epochs(query_df: DataFrame, work: str, mode: str, shape=lambda batch: ba
     def write(batch: DataFrame, epoch: int) -> None:
         shape(batch).write.mode("overwrite").parquet(f"{work}/out/epoch={epoch}")
 
+    spark = query_df.sparkSession
     (query_df.writeStream.outputMode(mode).option("checkpointLocation", f"{work}/checkpoint")
      .foreachBatch(write).trigger(availableNow=True).start().awaitTermination())
-    return query_df.sparkSession.read.parquet(f"{work}/out")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{work}/out")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):     # nothing has arrived yet
+        return spark.createDataFrame([], shape(query_df).schema).withColumn("epoch", F.lit(0))
+    return spark.read.parquet(f"{work}/out")
 
 
 def _routed(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -187,5 +203,79 @@ def stream_score_shift(spark: SparkSession, sf_dir: str, work: str | None = None
         F.round("psi", 4).alias("psi"), (F.round("psi", 4) > 0.2).alias("shifted"))
 
 
+# ------------------------------------------------------------------ Z4 rolling window
+WINDOW = 1000             # requests in the rolling window
+RINGS = 16                # the stream is dealt to so many rings, each with its own state
+RING_STATE = "at array<long>, id array<long>, bin array<int>"
+RING_ROW = "ring int, at long, id long, bin int"
+
+
+class Ring:
+    """The last ``size`` requests by (time, id), whatever the order they come in. Arrivals push
+    out the oldest; counts per bin follow each arrival and departure."""
+
+    def __init__(self, size: int, rows: list[tuple[int, int, int]]):
+        self.size, self.heap, self.counts = size, list(rows), Counter(r[2] for r in rows)
+        heapq.heapify(self.heap)
+
+    def add(self, row: tuple[int, int, int]) -> bool:
+        if len(self.heap) < self.size:
+            heapq.heappush(self.heap, row)
+        else:
+            gone = heapq.heappushpop(self.heap, row)
+            if gone == row:
+                return False                        # older than all that is kept
+            self.counts[gone[2]] -= 1
+        self.counts[row[2]] += 1
+        return True
+
+
+def rolling_rings(routed: DataFrame, size: int = WINDOW, rings: int = RINGS) -> DataFrame:
+    """Arbitrary stateful streaming: requests with a time are dealt to ``rings`` keys by their
+    id; a key's state is its ring of at most ``size`` requests. A batch that changes a ring
+    puts it out whole. The last ``size`` of all requests are among the rings' last ``size``,
+    so no key ever holds more, and no task sees more than its share of a batch."""
+    score = F.col("risk_score")
+    rows = routed.where("ts is not null").select(
+        F.pmod(F.xxhash64("event_id", "user_id"), F.lit(rings)).cast("int").alias("ring"),
+        F.unix_micros("ts").alias("at"), F.coalesce("event_id", F.lit(-2 ** 63)).alias("id"),
+        F.when(score.isNull(), UNSCORED_BIN).otherwise(score_bin(score)).cast("int").alias("bin"))
+
+    def step(key, frames, state):
+        ring = Ring(size, list(zip(*state.get, strict=True)) if state.exists else [])
+        changed = False
+        for pdf in frames:
+            for row in zip(pdf["at"].tolist(), pdf["id"].tolist(), pdf["bin"].tolist(), strict=True):
+                changed |= ring.add(row)
+        if changed:
+            at, ids, bins = (list(c) for c in zip(*sorted(ring.heap), strict=True))
+            state.update((at, ids, bins))
+            yield pd.DataFrame({"ring": key[0], "at": at, "id": ids, "bin": bins})
+    return rows.groupBy("ring").applyInPandasWithState(step, RING_ROW, RING_STATE, "update", "NoTimeout")
+
+
+def window_of_rings(written: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The last ``size`` requests: the last epoch of every ring, at most rings x size rows."""
+    last = written.groupBy("ring").agg(F.max("epoch").alias("epoch"))
+    return (written.join(F.broadcast(last), ["ring", "epoch"]).orderBy(F.desc("at"), F.desc("id")).limit(size)
+            .select("at", "id", "bin"))
+
+
+def stream_rolling_window(spark: SparkSession, sf_dir: str, work: str | None = None,
+                          files_per_trigger: int | None = None, size: int = WINDOW) -> DataFrame:
+    """One row: the window's first and last time, its requests with and without a score,
+    and the PSI of its score bins against the reference period."""
+    written = run_epochs(rolling_rings(_routed(spark, sf_dir, files_per_trigger), size), work or _work_dir(spark, "rolling"), "update")
+    kept = window_of_rings(written, size)
+    counts = kept.where(F.col("bin") != UNSCORED_BIN).groupBy("bin").agg(F.count(F.lit(1)).alias("c"))
+    psi = window_psi(counts.withColumn("window_start", F.lit(0)), reference_histogram(spark, sf_dir)).select("psi")
+    ends = kept.agg(F.timestamp_micros(F.min("at")).alias("first_ts"), F.timestamp_micros(F.max("at")).alias("last_ts"),
+                    F.count_if(F.col("bin") != UNSCORED_BIN).alias("n_requests"), F.count_if(F.col("bin") == UNSCORED_BIN).alias("n_unscored"))
+    # one row each
+    return ends.join(psi, F.lit(True), "left").select(
+        "first_ts", "last_ts", "n_requests", "n_unscored", F.round("psi", 4).alias("psi"), (F.round("psi", 4) > 0.2).alias("shifted"))
+
+
 __all__ = ["stream_route", "stream_score", "stream_quarantine", "stream_band_counts", "stream_score_shift",
+           "stream_rolling_window", "rolling_rings", "window_of_rings",
            "event_stream", "route_requests", "score_requests", "band_counts", "window_psi"]

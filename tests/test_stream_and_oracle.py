@@ -116,3 +116,54 @@ def test_late_requests_are_dropped_and_a_restart_resumes(spark, tmp_path):
     assert second == {("2020-01-01", "Low"): 1, ("2020-01-06", S.UNSCORED): 3, ("2020-01-06", "Low"): 1}
     epochs = written.select("epoch").distinct().count()
     assert run()[1] == second and run()[0].select("epoch").distinct().count() == epochs   # nothing new: nothing counted twice
+
+
+def test_rolling_window_equals_a_sort_and_survives_restarts(spark, tmp_path):
+    import datetime as dt
+
+    import numpy as np
+    from ledgerscope.streaming import scoring as S
+    events, work = tmp_path / "in", str(tmp_path / "work")
+    events.mkdir()
+    customers = spark.createDataFrame([(i, i, i / 10, 10 * i, "Low", "gone" if i == 7 else None) for i in range(10)],
+                                      "CUSTOMER_ID long, ID long, default_probability double, risk_score int, "
+                                      "risk_band string, problem string")
+    rng, seen = np.random.default_rng(4), []
+    for part in range(4):
+        # times overlap between files, so rows arrive out of order; some tie, some have no time
+        rows = [(int(1000 * part + i), None if i % 17 == 0 else dt.datetime(2020, 1, 1) + dt.timedelta(seconds=int(rng.integers(0, 40) + 10 * part)),
+                 int(rng.integers(0, 11))) for i in range(60)]
+        seen += [r for r in rows if r[1] is not None]
+        _event_file(spark, events, f"events-{part}.parquet", rows)
+        routed = S.route_requests(S.event_stream(spark, str(events)), customers)
+        written = S.run_epochs(S.rolling_rings(routed, size=25, rings=4), work, "update")      # a restart each time
+        got = [(r.id, r.bin) for r in S.window_of_rings(written, 25).collect()]
+        last = sorted(seen, key=lambda r: (r[1], r[0]), reverse=True)[:25]
+        assert sorted(got) == sorted((r[0], S.UNSCORED_BIN if r[2] in (7, 10) else min(9, r[2])) for r in last)
+
+
+def test_ring_counts_follow_arrivals():
+    from collections import Counter
+
+    import numpy as np
+    from ledgerscope.streaming import scoring as S
+    rng, ring, rows = np.random.default_rng(2), S.Ring(20, []), []
+    for i in range(300):
+        rows.append((int(rng.integers(50)), i, int(rng.integers(-1, 4))))
+        ring.add(rows[-1])
+        kept = sorted(rows)[-20:]
+        assert sorted(ring.heap) == kept and +ring.counts == Counter(r[2] for r in kept)
+
+
+def test_stream_over_an_empty_folder(spark, tmp_path):
+    from ledgerscope.streaming import scoring as S
+    (tmp_path / "in").mkdir()
+    customers = spark.createDataFrame([], "CUSTOMER_ID long, ID long, default_probability double, risk_score int, risk_band string, problem string")
+    routed = S.route_requests(S.event_stream(spark, str(tmp_path / "in")), customers)
+    got = S.run_epochs(routed, str(tmp_path / "work"), "append")
+    assert got.count() == 0 and "reason" in got.columns
+
+
+def test_scored_customers_are_derived_once(spark):
+    from ledgerscope.streaming import scoring as S
+    assert S.scored_customers(spark, SF) is S.scored_customers(spark, SF)
