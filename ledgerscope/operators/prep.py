@@ -125,38 +125,50 @@ def _quota(n: F.Column, frac: float) -> F.Column:
     return F.ceil(n * F.lit(frac)).cast("bigint")
 
 
+BUCKET_ROWS = 50_000      # rows of a boundary bucket that are ranked together
+
+
 def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, val_size: float = VAL_SIZE,
-                     label: str = TARGET, id_col: str = ID_COL, buckets: int = 1024) -> DataFrame:
+                     label: str = TARGET, id_col: str = ID_COL, buckets: int | None = None) -> DataFrame:
     """Add ``split`` in {train, val, test}, stratified by ``label``.
 
     Per class with n rows: test = ceil(test_size*n) rows, then val = ceil(val/(1-test) *
     (n - test)) of the rest, the remainder is train; rows are taken in the order of a
-    fixed permutation of the key. The rank inside a class is computed without a
-    class-wide window (two classes would mean two tasks): rows are bucketed by the
-    uniform hash, per-bucket counts (classes x buckets rows, a size fixed by
-    ``buckets``) give prefix offsets, which are broadcast back; only a window inside
-    each (class, bucket) remains.
+    fixed permutation of the key (then the key). Rows that repeat a key stay together.
+
+    Two phases find the last key of test and of val in each class. First rows are counted
+    per class and bucket of the permuted key (``BUCKET_ROWS`` rows each on average), and
+    running counts tell in which bucket a quota ends. Then only the rows of those buckets,
+    two a class, are ranked. All other rows are assigned by comparing their key with two
+    keys a class, so the table itself is neither shuffled nor sorted.
     """
     val_rel = val_size / (1.0 - test_size)
-    h = split_hash(id_col)
-    with_b = df.withColumns({"_h": h, "_b": (h * buckets / F.lit(HASH_MOD)).cast("int")})
-    counts = with_b.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    wcum = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(label)
-    offsets = counts.select(
-        label, "_b",
-        F.coalesce(F.sum("_nb").over(wcum), F.lit(0)).alias("_off"),
-        F.sum("_nb").over(wall).alias("_nc"))
-    # offsets has at most (#classes x buckets) rows: a fixed, proven bound
-    ranked = with_b.join(F.broadcast(offsets), [label, "_b"], "inner")
-    wloc = Window.partitionBy(label, "_b").orderBy("_h", id_col)
-    ranked = ranked.withColumn("_r", F.col("_off") + F.row_number().over(wloc))
-    n_test = _quota(F.col("_nc"), test_size)
-    n_val = _quota(F.col("_nc") - n_test, val_rel)
-    split = (F.when(F.col("_r") <= n_test, F.lit("test"))
-             .when(F.col("_r") <= n_test + n_val, F.lit("val"))
-             .otherwise(F.lit("train")))
-    return ranked.withColumn("split", split).drop("_h", "_b", "_nb", "_off", "_nc", "_r")
+    if buckets is None:
+        buckets = max(1024, -(-df.count() // BUCKET_ROWS))
+    keyed = df.withColumns({"_h": split_hash(id_col)})
+    bucket = (F.col("_h") * buckets / F.lit(HASH_MOD)).cast("int")
+    narrow = keyed.select(F.col(label).alias("_y"), "_h", F.col(id_col).alias("_k"), bucket.alias("_b"))
+    counts = narrow.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    upto, all_rows = Window.partitionBy("_y").orderBy("_b"), Window.partitionBy("_y")
+    n = F.sum("_nb").over(all_rows)
+    n_test = _quota(n, test_size)
+    runs = counts.select("_y", "_b", (F.sum("_nb").over(upto) - F.col("_nb")).alias("_off"), "_nb", n_test.alias("test"),
+                         (n_test + _quota(n - n_test, val_rel)).alias("val"))
+    ends = runs.unpivot(["_y", "_b", "_off", "_nb"], ["test", "val"], "_part", "_quota").where(
+        (F.col("_quota") > F.col("_off")) & (F.col("_quota") <= F.col("_off") + F.col("_nb")))
+    # two rows a class
+    ends = ends.select(F.col("_y").alias("_ey"), F.col("_b").alias("_eb"), "_part", (F.col("_quota") - F.col("_off")).alias("_nth"))
+    near = narrow.join(F.broadcast(ends.select("_ey", "_eb").distinct()), F.col("_y").eqNullSafe(F.col("_ey")) & (F.col("_b") == F.col("_eb")), "left_semi")
+    ranked = near.withColumn("_r", F.row_number().over(Window.partitionBy("_y", "_b").orderBy("_h", "_k")))
+    last = ranked.join(F.broadcast(ends), F.col("_y").eqNullSafe(F.col("_ey")) & (F.col("_b") == F.col("_eb")) & (F.col("_r") == F.col("_nth")))
+    key = F.struct("_h", "_k")
+    cuts = last.groupBy("_ey").agg(F.max(F.when(F.col("_part") == "test", key)).alias("_test"),
+                                   F.max(F.when(F.col("_part") == "val", key)).alias("_val"))
+    # one row a class
+    joined = keyed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_ey")), "left")
+    own = F.struct(F.col("_h"), F.col(id_col).alias("_k"))
+    split = (F.when(own <= F.col("_test"), F.lit("test")).when(own <= F.col("_val"), F.lit("val")).otherwise(F.lit("train")))
+    return joined.select(*df.columns, split.alias("split"))
 
 
 def split_summary(df_with_split: DataFrame, label: str = TARGET) -> DataFrame:

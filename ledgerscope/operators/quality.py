@@ -260,6 +260,26 @@ def check_batch(df: DataFrame, max_missing: float = BATCH_MAX_MISSING) -> DataFr
     return long.select("column_name", "check_name", F.coalesce(err, F.lit(False)).alias("error"), "value")
 
 
+def batch_measures(df: DataFrame) -> list[Column]:
+    """The sums that the batch check needs, as aggregates that ``observe`` can take along
+    another plan over the same rows; ``batch_errors`` reads them."""
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    present = [c for c in REQUIRED_FIELDS if c in df.columns]
+    return [F.count(F.lit(1)).alias("n"),
+            *[F.sum(_q(c).isNull().cast("long")).alias(f"missing:{c}") for c in present],
+            *[F.sum((F.abs(_q(c).cast("double")) == float("inf")).cast("long")).alias(f"inf:{c}") for c in numeric]]
+
+
+def batch_errors(measures: dict, columns: list[str], max_missing: float = BATCH_MAX_MISSING) -> list[str]:
+    """column:check of every error, as ``check_batch`` finds them."""
+    absent = [f"{c}:missing_column" for c in REQUIRED_FIELDS if c not in columns]
+    if absent:
+        return absent
+    n = measures["n"] or 0
+    bad = [f"{c}:missing" for c in REQUIRED_FIELDS if n and (measures[f"missing:{c}"] or 0) / n > max_missing]
+    return bad + [f"{k.removeprefix('inf:')}:inf" for k, v in measures.items() if k.startswith("inf:") and v]
+
+
 def batch_is_valid(df: DataFrame) -> bool:
     return check_batch(df).where(F.col("error")).limit(1).count() == 0
 

@@ -10,9 +10,10 @@ aggregate; the only driver-side values are model parameters and scaler moments
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerscope.operators import metrics as M
@@ -21,7 +22,7 @@ from ledgerscope.operators import prep, quality
 from ledgerscope.operators.features import add_derived_features
 from ledgerscope.operators.scoring import band_summary, batch_score, build_score_output
 from ledgerscope.schema import MODEL_FEATURES, SCALE_COLS, TARGET
-from ledgerscope.session import stored
+from ledgerscope.session import checkpoint_dir, stored
 
 
 @dataclass
@@ -70,16 +71,37 @@ def train(raw: DataFrame, booster_params: dict | None = None, validate: bool = T
 
 def batch_score_job(raw: DataFrame, bundle: MD.ModelBundle, output_path: str | None = None,
                     fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
-    """Batch gate (raise on any error) -> score -> summary -> optional write.
-    Two actions: the gate aggregate, then the write."""
-    # one row per column and check at most
-    bad = [r["column_name"] + ":" + r["check_name"] for r in quality.check_batch(raw).where(F.col("error")).collect()]
+    """Gate, score and write in one pass over the batch; then the band summary.
+
+    The gate's sums are observed while the scored rows are written to a staging folder beside
+    ``output_path``. With any error the staged rows are discarded, the last good output stays
+    and the job raises; else the staged folder takes the output's place. Without a path the
+    rows are staged in the shared folder and read from there.
+    """
+    absent = quality.batch_errors({}, raw.columns) if set(quality.REQUIRED_FIELDS) - set(raw.columns) else []
+    if absent:
+        raise ValueError(f"Batch failed quality checks: {absent}")
+    spark = raw.sparkSession
+    target = (output_path or f"{checkpoint_dir(spark).rstrip('/')}/scored-{uuid.uuid4().hex}").rstrip("/")
+    staging, old = f"{target}-staging-{uuid.uuid4().hex}", f"{target}-replaced-{uuid.uuid4().hex}"
+    seen = Observation("batch gate")
+    scored = batch_score(raw.observe(seen, *quality.batch_measures(raw)), bundle.predict)
+    scored.write.format(fmt).option("header", True).save(staging)
+    bad = quality.batch_errors(seen.get, raw.columns)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    to, new, gone = jvm.Path(target), jvm.Path(staging), jvm.Path(old)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
     if bad:
+        fs.delete(new, True)
         raise ValueError(f"Batch failed quality checks: {bad}")
-    scored = batch_score(raw, bundle.predict)
-    if output_path:
-        scored.write.mode("overwrite").format(fmt).option("header", True).save(output_path)
-    return scored, band_summary(scored)
+    if fs.exists(to) and not fs.rename(to, gone):
+        raise OSError(f"cannot replace {target}")
+    if not fs.rename(new, to):
+        raise OSError(f"cannot publish {staging} as {target}")
+    if fs.exists(gone):
+        fs.delete(gone, True)
+    out = spark.read.schema(scored.schema).format(fmt).option("header", True).load(target)
+    return out, band_summary(out)
 
 
 def score_with_bundle(df: DataFrame, bundle: MD.ModelBundle) -> DataFrame:

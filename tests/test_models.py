@@ -86,3 +86,26 @@ def test_list_artifacts(spark, trained):
     for name in ("b", "a"):
         trained.logistic.save(f"{root}/{name}")
     assert MD.list_artifacts(root) == MD.list_artifacts("file://" + root) == ["a", "b"]
+
+
+def test_batch_job_publishes_or_discards(trained, raw_df, tmp_path):
+    """A bad batch leaves the last good output and no staged rows; the rows are read once."""
+    raw = raw_df.drop("default_payment_next_month")
+    path = str(tmp_path / "scored")
+    read = raw.sparkSession.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            read.add(len(pdf))
+            yield pdf
+    out, _ = batch_score_job(raw.mapInPandas(counted, raw.schema), trained.logistic, path)
+    assert out.count() == 200 and read.value == 200
+    bad = raw.withColumn("AGE", F.when(F.col("ID") % 10 != 0, F.col("AGE"))).withColumn("LIMIT_BAL", F.when(F.col("ID") == 3, float("inf")).otherwise(F.col("LIMIT_BAL")))
+    with pytest.raises(ValueError, match="AGE:missing.*LIMIT_BAL:inf"):
+        batch_score_job(bad, trained.logistic, path)
+    with pytest.raises(ValueError, match="AGE:missing_column"):
+        batch_score_job(raw.drop("AGE"), trained.logistic, path)
+    assert [p.name for p in tmp_path.iterdir()] == ["scored"]
+    assert raw.sparkSession.read.parquet(path).count() == 200
+    again, summary = batch_score_job(raw.where("ID <= 50"), trained.booster, path)
+    assert again.count() == 50 and summary.agg(F.sum("n_records")).first()[0] == 50 and [p.name for p in tmp_path.iterdir()] == ["scored"]
