@@ -73,5 +73,5 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     cell = cell.select("shard", "range", "part", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("prior"))
     got = line.join(F.broadcast(cell), ["shard", "range", "part"])
     return got.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
-                      (F.col("prior") + F.col("rank") - F.col("first")).cast("int").alias("slot"),
+                      (F.col("prior") + F.col("rank") - F.col("first")).cast("long").alias("slot"),
                       F.lit(None).cast("int").alias("grown_shard"))
