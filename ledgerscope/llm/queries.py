@@ -95,7 +95,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_backtracking_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm import sentencepiece_bpe as S
-    return S.digests(table(spark, sf_dir, "documents"), piece_model())
+    return S.digests(table(spark, sf_dir, "documents"), piece_model(), keep_units=400_000)
 
 
 @register("op10_chat_hmm")

@@ -57,6 +57,7 @@ class PieceModel:
         self.rank = {i: r for r, i in enumerate(sorted(plain, key=lambda i: (-sp.get_score(i), i)))}
         self.id_of = {self.pieces[i]: i for i in plain}
         self.size = [len(p) for p in self.pieces]
+        self.longest = max((len(self.pieces[i]) for i in plain), default=1)
         self.marks_cut = not any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in plain)
         # the last merge inside each piece; pieces that merging never builds are left out
         self.split: dict[int, tuple[int, int] | None] = {}
@@ -93,6 +94,7 @@ class PieceModel:
         self.text_of = [str(i) for i in range(n)]
         self.pair: dict[int, bool] = {}
         self.store: dict[str, tuple] = {}
+        self.keep = KEEP_UNITS
 
     def _bytes(self, i: int) -> bytes:
         """Bytes of an id: a mark is a blank, a byte piece its byte, a control id nothing."""
@@ -145,12 +147,32 @@ class PieceModel:
                 limit, b = rb + 0.5, sb[0]
         return ok
 
+    def fit(self, a: int, b: int) -> bool:
+        """``compatible``, kept for the pair."""
+        if len(self.pair) > 300_000:
+            self.pair.clear()
+        got = self.pair[a << 20 | b] = self.compatible(a, b)
+        return got
+
     def encode_known(self, s: str) -> list[int]:
         """Ids of a run of characters that all have pieces."""
-        n, at, out = len(s), 0, []
+        n, at, out, last = len(s), 0, [], -1
+        deepest, best, size, pair, longest = self.trie.longest_prefix, self.best, self.size, self.pair, self.longest
+        while True:                                 # until a longest match does not fit
+            rest = s[at:at + longest]
+            token = best[rest[:deepest(rest)]]
+            if last >= 0:
+                fits = pair.get(last << 20 | token)
+                if fits is None:
+                    fits = self.fit(last, token)
+                if not fits:
+                    break
+            out.append(token)
+            at += size[token]
+            if at >= n:
+                return out
+            last = token
         failed = bytearray((n + 8) // 8)            # a bit for each position with no way on
-        deepest, best, size, pair = self.trie.longest_prefix, self.best, self.size, self.pair
-        token = best[s[:deepest(s)]]
         while at < n:
             end = at + size[token]
             fits = not failed[end >> 3] >> (end & 7) & 1
@@ -158,14 +180,12 @@ class PieceModel:
                 key = out[-1] << 20 | token
                 fits = pair.get(key)
                 if fits is None:
-                    if len(pair) > 300_000:
-                        pair.clear()
-                    fits = pair[key] = self.compatible(out[-1], token)
+                    fits = self.fit(out[-1], token)
             if fits:
                 out.append(token)
                 at = end
                 if at < n:
-                    rest = s[at:at + 64]
+                    rest = s[at:at + longest]
                     token = best[rest[:deepest(rest)]]
                 continue
             token = self.shorter.get(token)
@@ -214,7 +234,7 @@ class PieceModel:
             ids = self.encode_unit(u)
             got = (tuple(ids), " ".join([self.text_of[i] for i in ids]), self.raw(ids))
             if len(u) <= 200:
-                if len(self.store) >= KEEP_UNITS:
+                if len(self.store) >= self.keep:
                     self.store.clear()
                 self.store[u] = got
         return got
@@ -259,11 +279,14 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     return src.mapInArrow(run, "id long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
-def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+            keep_units: int = KEEP_UNITS) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256, without building the id arrays:
-    each unit's ids, as text and decoded, are taken from the worker's store."""
+    each unit's ids, as text and decoded, are taken from the worker's store of at most
+    ``keep_units`` units (about 0.9 KB each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
+        m.keep = keep_units
         for batch in batches:
             n, hid, hdec = [], [], []
             known, end = m.store.get, f" {m.eos}".encode()
