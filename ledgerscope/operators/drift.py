@@ -117,10 +117,13 @@ def drift_report(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
 
 
 def drift_summary(report: DataFrame) -> DataFrame:
+    """Counts, rate and sorted names of the drifted features (one row a feature comes in)."""
     return report.agg(F.count(F.lit(1)).alias("n_features_checked"),
-                      F.count_if("drifted").alias("n_drifted")).select(
+                      F.count_if("drifted").alias("n_drifted"),
+                      F.sort_array(F.collect_list(F.when(F.col("drifted"), F.col("feature")))).alias("drifted_features")).select(
         "n_features_checked", "n_drifted",
-        F.round(F.col("n_drifted") / F.greatest(F.col("n_features_checked"), F.lit(1)), 3).alias("drift_rate"))
+        F.round(F.col("n_drifted") / F.greatest(F.col("n_features_checked"), F.lit(1)), 3).alias("drift_rate"),
+        "drifted_features")
 
 
 def score_shift(ref_scores: DataFrame, cur_scores: DataFrame, col: str = "risk_score",

@@ -181,30 +181,36 @@ def validation_passed(df: DataFrame) -> bool:
 def render_report(report: DataFrame) -> str:
     """Text rendering of a (small) report on the driver; report rows are bounded by
     the number of columns, not by the data."""
-    rows = report.collect()
-    status = next((r["severity"] for r in rows if r["check_name"] == "summary"), "passed").upper()
-    lines = [f"=== Data Validation: {status} ==="]
-    for sev, tag in (("issue", "[FAIL]"), ("warning", "[WARN]")):
-        items = [r for r in rows if r["severity"] == sev]
-        if items:
-            lines.append(f"{sev.title()}s ({len(items)}):")
-            lines += [f"  {tag} {r['check_name']} {r['column_name'] or ''} n={r['n_bad']}" for r in items]
-    if len(lines) == 1:
-        lines.append("  All checks passed.")
-    return "\n".join(lines)
+    rows = report.where(F.col("severity") != "info").orderBy("severity", "check_name", "column_name").collect()
+    outcome = next((r["severity"] for r in rows if r["check_name"] == "summary"), "passed")
+    found = [r for r in rows if r["check_name"] != "summary"]
+    table = [("severity", "check", "column", "rows", "share")]
+    table += [(r["severity"], r["check_name"], r["column_name"] or "(table)", str(r["n_bad"] if r["n_bad"] is not None else "-"),
+               "-" if r["pct"] is None else f"{100 * r['pct']:.2f} %") for r in found]
+    width = [max(len(line[i]) for line in table) for i in range(5)]
+    body = ["  ".join(cell.ljust(w) for cell, w in zip(line, width, strict=True)).rstrip() for line in table] if found else []
+    return "\n".join([f"validation {outcome}, {len(found)} findings", *body])
 
 
 # ------------------------------------------------------- Q1 per-record check
 def _name_list(flags: list[tuple[str, Column]]) -> Column:
-    """Python-style list text of the names whose flag is true, e.g. ['A', 'B']."""
-    arr = F.filter(F.array(*[F.when(f, F.lit(f"'{n}'")) for n, f in flags]), lambda x: x.isNotNull())
-    return F.when(F.size(arr) > 0, F.concat(F.lit("["), F.array_join(arr, ", "), F.lit("]")))
+    """The names whose flag is true, joined by commas; NULL without any."""
+    arr = F.filter(F.array(*[F.when(f, F.lit(n)) for n, f in flags]), lambda x: x.isNotNull())
+    return F.when(F.size(arr) > 0, F.array_join(arr, ","))
+
+
+def _finding(flag: Column, rule: str, field: str, value: Column | None, low: float | None, high: float | None, severity: str) -> Column:
+    return F.when(flag, F.struct(
+        F.lit(rule).alias("rule"), F.lit(field).alias("field"), (F.lit(None) if value is None else value).cast("double").alias("value"),
+        F.lit(low).cast("double").alias("low"), F.lit(high).cast("double").alias("high"), F.lit(severity).alias("severity")))
 
 
 def check_records(df: DataFrame, raw_nan_aware: bool = True) -> DataFrame:
-    """Per row: errors (missing required fields; NaN values) and warnings (scoring
-    ranges; negative payments); ``valid`` iff no errors. Run on the RAW frame: a NaN
-    is an error AND fails its range test, a NULL is only 'missing'."""
+    """Per row ``findings``: rule (required, number, range, sign), field, offending value,
+    bounds and severity. Absent and NaN fields are errors, values out of the scoring ranges
+    and negative payments warnings; ``errors`` and ``warnings`` say them as text, and
+    ``valid`` holds without errors. Run on the RAW frame: a NaN is an error AND fails its
+    range test, a NULL is only absent."""
     cols = df.columns
     missing = _name_list([(c, (_q(c).isNull() if c in cols else F.lit(True))) for c in REQUIRED_FIELDS])
     nan_flags = [(f.name, F.isnan(_q(f.name))) for f in df.schema.fields
@@ -214,19 +220,18 @@ def check_records(df: DataFrame, raw_nan_aware: bool = True) -> DataFrame:
                    for c, (lo, hi) in SCORING_RANGES.items() if c in cols]
     range_flags = [(n, F.coalesce(f, F.lit(False))) for n, f in range_flags]
     neg_flags = [(c, F.coalesce(_q(c) < 0, F.lit(False))) for c in PAY_AMT_COLS if c in cols]
-    errors = F.filter(F.array(
-        F.concat(F.lit("Missing required fields: "), missing),
-        F.concat(F.lit("NaN values in fields: "), nan_list)), lambda x: x.isNotNull())
-    warnings = F.filter(F.array(
-        *[F.when(f, F.lit(f"Field '{n}' outside expected range [{SCORING_RANGES[n][0]}, "
-                          f"{SCORING_RANGES[n][1]}]")) for n, f in range_flags],
-        *[F.when(f, F.lit(f"'{n}' is negative; expected >= 0")) for n, f in neg_flags]),
-        lambda x: x.isNotNull())
-    return df.withColumns({
-        "missing_fields": missing, "nan_fields": nan_list,
-        "errors": errors, "warnings": warnings,
-        "valid": F.size(errors) == 0,
-    })
+    found = [_finding(_q(c).isNull() if c in cols else F.lit(True), "required", c, None, None, None, "error") for c in REQUIRED_FIELDS]
+    found += [_finding(f, "number", n, _q(n), None, None, "error") for n, f in nan_flags]
+    found += [_finding(f, "range", n, _q(n), *SCORING_RANGES[n], "warning") for n, f in range_flags]
+    found += [_finding(f, "sign", n, _q(n), 0, None, "warning") for n, f in neg_flags]
+    errors = F.filter(F.array(F.concat(F.lit("absent: "), missing), F.concat(F.lit("not a number: "), nan_list)),
+                      lambda x: x.isNotNull())
+    text = F.transform(F.filter("findings", lambda x: x["severity"] == "warning"), lambda x: F.concat(
+        x["field"], F.lit(" = "), x["value"].cast("string"), F.when(x["rule"] == "sign", F.lit(" is below 0")).otherwise(
+            F.concat(F.lit(" is not in "), x["low"].cast("string"), F.lit(" to "), x["high"].cast("string")))))
+    return (df.withColumns({"missing_fields": missing, "nan_fields": nan_list,
+                            "findings": F.filter(F.array(*found), lambda x: x.isNotNull()), "errors": errors})
+            .withColumns({"warnings": text, "valid": F.size("errors") == 0}))
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -22,8 +22,8 @@ FEATS = sorted(FEATURE_INPUT_COLS + DERIVED_COLS)
 CUT = DRIFT_CUTOFF.isoformat()
 
 
-def _sides(spark, sf):
-    f = features(spark, sf)
+def _sides(spark, sf, raw=None):
+    f = features(spark, sf, raw)
     return f.where(F.col("AS_OF") < F.lit(DRIFT_CUTOFF)), f.where(F.col("AS_OF") >= F.lit(DRIFT_CUTOFF))
 
 
@@ -111,10 +111,11 @@ def q_drift_report(spark, sf):
 
 @register("drift_summary", sql(*DRIFT, REPORT, body="""
 SELECT COUNT(*) AS n_features_checked, COUNT(*) FILTER (WHERE drifted) AS n_drifted,
-       ROUND(CAST(COUNT(*) FILTER (WHERE drifted) AS DOUBLE) / GREATEST(COUNT(*), 1), 3) AS drift_rate FROM rep"""))
-def q_drift_summary(spark, sf):
-    ref, cur = _sides(spark, sf)
-    return D.drift_summary(D.drift_report(ref, cur, FEATS))
+       ROUND(CAST(COUNT(*) FILTER (WHERE drifted) AS DOUBLE) / GREATEST(COUNT(*), 1), 3) AS drift_rate,
+       COALESCE(STRING_AGG(feature, ',' ORDER BY feature) FILTER (WHERE drifted), '') AS drifted_features FROM rep"""))
+def q_drift_summary(spark, sf, raw=None):
+    ref, cur = _sides(spark, sf, raw)
+    return D.drift_summary(D.drift_report(ref, cur, FEATS)).withColumn("drifted_features", F.array_join("drifted_features", ","))
 
 
 SCORE_SIDES = f"""slv AS (SELECT 'risk_score' AS feature, CAST(risk_score AS DOUBLE) AS value,

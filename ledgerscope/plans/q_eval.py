@@ -26,8 +26,8 @@ EV = f"""ev AS (
 EVB = [O.CREDIT_ALL, O.clean_cte(), O.feat_cte(), EV]
 
 
-def eval_frame(spark, sf):
-    f = features(spark, sf).select("ID", "SEX", "MARRIAGE", F.col(TARGET).alias("y"),
+def eval_frame(spark, sf, raw=None):
+    f = features(spark, sf, raw).select("ID", "SEX", "MARRIAGE", F.col(TARGET).alias("y"),
                                    demo_probability().alias("demo"),
                                    late_only_probability().alias("late_only"))
     return f.unpivot(["ID", "SEX", "MARRIAGE", "y"], ["demo", "late_only"], "model", "p")

@@ -40,9 +40,9 @@ SCALED = ("sc AS (SELECT feat.ID, " + ", ".join(
     for c in MODEL_FEATURES) + " FROM feat, st)")
 
 
-def _train_scaler(spark, sf):
-    train = prep.stratified_split(training_features(spark, sf)).where(F.col("split") == "train")
-    return features(spark, sf), prep.fit_scaler(train.select(*SCALE_COLS))
+def _train_scaler(spark, sf, raw=None):
+    train = prep.stratified_split(training_features(spark, sf, raw)).where(F.col("split") == "train")
+    return features(spark, sf, raw), prep.fit_scaler(train.select(*SCALE_COLS))
 
 
 @register("scaler_fit", sql(*FEAT_SPLIT, STATS, body=" UNION ALL ".join(
@@ -136,8 +136,8 @@ def q_calibrate_isotonic(spark, sf):
 
 
 # -------------------------------------------------------------- attribution
-def _attr_frame(spark, sf):
-    f, scaler = _train_scaler(spark, sf)
+def _attr_frame(spark, sf, raw=None):
+    f, scaler = _train_scaler(spark, sf, raw)
     return A.linear_attributions(scaler.transform(f), ATTR_MODEL, MODEL_FEATURES)
 
 
@@ -253,14 +253,14 @@ DER = DERIVED_COLS
 
 
 # ------------------------------------------------------------ report (D5) and alerts (Z3)
-def _report_parts(spark, sf):
+def _report_parts(spark, sf, raw=None):
     from ledgerscope.operators import drift as D
     from ledgerscope.operators import metrics as M
     from ledgerscope.plans.q_drift import FEATS, _sides
     from ledgerscope.plans.q_eval import eval_frame
-    cmp = M.compare_models(M.compute_metrics(eval_frame(spark, sf), ["model"]))
-    imp = A.global_importance(_attr_frame(spark, sf))
-    ref, cur = _sides(spark, sf)
+    cmp = M.compare_models(M.compute_metrics(eval_frame(spark, sf, raw), ["model"]))
+    imp = A.global_importance(_attr_frame(spark, sf, raw))
+    ref, cur = _sides(spark, sf, raw)
     rep = D.drift_report(ref, cur, FEATS)
     return cmp, imp, rep
 
@@ -284,23 +284,25 @@ def q_report_table(spark, sf):
 
 
 @register("monitoring_alerts")
-def q_monitoring_alerts(spark, sf):
+def q_monitoring_alerts(spark, sf, raw=None):
     from ledgerscope.operators import drift as D
     from ledgerscope.operators import metrics as M
     from ledgerscope.plans.q_eval import eval_frame
     from ledgerscope.sources.credit import DRIFT_CUTOFF
-    _, imp, rep = _report_parts(spark, sf)
-    ev = eval_frame(spark, sf).where(F.col("model") == "demo").join(
+    _, imp, rep = _report_parts(spark, sf, raw)
+    ev = eval_frame(spark, sf, raw).where(F.col("model") == "demo").join(
         credit(spark, sf).select("ID", "AS_OF"), "ID")
     auc_ref = M.roc_auc(ev.where(F.col("AS_OF") < F.lit(DRIFT_CUTOFF)))
     auc_cur = M.roc_auc(ev.where(F.col("AS_OF") >= F.lit(DRIFT_CUTOFF)))
     return round_doubles(D.monitoring_alerts(rep, imp, auc_ref, auc_cur))
 
 
-def _report_sql() -> tuple[str, str]:
+def _report_sql(source: tuple[str, ...] = ()) -> tuple[str, str]:
+    """SQL of report and alerts; ``source``: a CTE of other credit rows and its name."""
     from ledgerscope.plans import q_drift as QD
     from ledgerscope.plans import q_eval as QE
-    ctes = [O.CREDIT_ALL, O.clean_cte(), O.feat_cte(), QE.EV, QE.CV, QE.AUC, QE.AP, QE.BR, QE.TM,
+    first = [source[0], O.clean_cte(source[1])] if source else [O.clean_cte()]
+    ctes = [O.CREDIT_ALL, *first, O.feat_cte(), QE.EV, QE.CV, QE.AUC, QE.AP, QE.BR, QE.TM,
             SPLIT, STATS, SCALED, ATTR, QD.SIDES, QD.KS, QD._psi_sql(), QD.REPORT]
     base = ", ".join(c.strip() for c in ctes)
     mets = " UNION ALL ".join(

@@ -173,8 +173,8 @@ def q_dq_report(spark, sf):
 
 # ----------------------------------------------------------------------------- Q1
 def _name_list_sql(flags: list[tuple[str, str]]) -> str:
-    inner = ", ".join(f"CASE WHEN {f} THEN '''{n}''' END" for n, f in flags)
-    return f"NULLIF('[' || concat_ws(', ', {inner}) || ']', '[]')"
+    inner = ", ".join(f"CASE WHEN {f} THEN '{n}' END" for n, f in flags)
+    return f"NULLIF(concat_ws(',', {inner}), '')"
 
 
 _MISSING_SQL = _name_list_sql([(c, f"{c} IS NULL") for c in REQUIRED_FIELDS])
@@ -213,7 +213,7 @@ def q_quarantine(spark, sf):
 _NUMERIC_ALL = ["ID"] + [c for c in EXPECTED_COLUMNS]
 
 
-@register("check_batch", sql(O.CREDIT_ALL, body=(
+_BATCH_SQL = (
     ", a AS (SELECT COUNT(*) AS n, "
     + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS m{i}" for i, c in enumerate(REQUIRED_FIELDS))
     + ", "
@@ -224,7 +224,10 @@ _NUMERIC_ALL = ["ID"] + [c for c in EXPECTED_COLUMNS]
     + ", ".join(f"('{c}', 'missing', CAST(a.m{i} AS DOUBLE) / a.n)" for i, c in enumerate(REQUIRED_FIELDS))
     + ", "
     + ", ".join(f"('{c}', 'inf', CAST(a.i{i} AS DOUBLE))" for i, c in enumerate(_NUMERIC_ALL))
-    + ") AS v(column_name, check_name, value)")))
+    + ") AS v(column_name, check_name, value)")
+
+
+@register("check_batch", sql(O.CREDIT_ALL, body=_BATCH_SQL))
 def q_check_batch(spark, sf):
     return round_doubles(q.check_batch(src.credit_all(spark, sf).drop("AS_OF")))
 

@@ -12,12 +12,12 @@ from ledgerscope.sources.credit import DRIFT_CUTOFF
 from ledgerscope.streaming import scoring as S
 
 d = O.d
-_ABSENT = ", ".join(f"CASE WHEN s.{c} IS NULL THEN '''{c}''' END" for c in REQUIRED_FIELDS)
+_ABSENT = ", ".join(f"CASE WHEN s.{c} IS NULL THEN '{c}' END" for c in REQUIRED_FIELDS)
 ALL = [O.CREDIT_ALL, O.clean_cte("credit_all", "clean_all"), O.feat_cte("clean_all", "feat_all"),
        O.scored_cte("feat_all", "scored_all")]
 ROUTED = f"""ccust AS (SELECT o_orderkey AS ID, o_custkey AS CUSTOMER_ID FROM orders),
 lat AS (SELECT * FROM (
-  SELECT s.*, c.CUSTOMER_ID, NULLIF('[' || concat_ws(', ', {_ABSENT}) || ']', '[]') AS absent,
+  SELECT s.*, c.CUSTOMER_ID, NULLIF(concat_ws(',', {_ABSENT}), '') AS absent,
          ROW_NUMBER() OVER (PARTITION BY c.CUSTOMER_ID ORDER BY s.AS_OF DESC, s.ID DESC) AS rn
   FROM scored_all s JOIN ccust c USING (ID)) WHERE rn = 1),
 req AS (SELECT e.event_id, e.ts, e.user_id, l.ID AS snapshot_id,
@@ -25,7 +25,7 @@ req AS (SELECT e.event_id, e.ts, e.user_id, l.ID AS snapshot_id,
                CASE WHEN absent IS NULL THEN l.risk_score END AS risk_score,
                CASE WHEN absent IS NULL THEN l.risk_band END AS risk_band,
                CASE WHEN e.user_id IS NULL THEN 'no customer key' WHEN l.CUSTOMER_ID IS NULL THEN 'no snapshot'
-                    WHEN absent IS NOT NULL THEN 'Missing required fields: ' || absent END AS reason
+                    WHEN absent IS NOT NULL THEN 'absent: ' || absent END AS reason
         FROM events e LEFT JOIN lat l ON e.user_id = l.CUSTOMER_ID)"""
 
 

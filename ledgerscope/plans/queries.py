@@ -46,7 +46,7 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # importing the query modules fills the registry
     from ledgerscope.plans import (q_core, q_drift, q_eval, q_explain,  # noqa: F401
-                                   q_models, q_quality, q_stream)
+                                   q_models, q_quality, q_stream, q_variants)
 
 
 # ------------------------------------------------------------------ shared helpers
@@ -61,13 +61,13 @@ def credit(spark: SparkSession, sf: str) -> DataFrame:
     return src.credit_all(spark, sf)
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    return sc.featurize(credit(spark, sf))
+def features(spark: SparkSession, sf: str, raw: DataFrame | None = None) -> DataFrame:
+    return sc.featurize(credit(spark, sf) if raw is None else raw)
 
 
-def training_features(spark: SparkSession, sf: str) -> DataFrame:
+def training_features(spark: SparkSession, sf: str, raw: DataFrame | None = None) -> DataFrame:
     """Snapshots with all six months: what split, scaler and models are fitted on."""
-    return sc.featurize(src.credit(spark, sf))
+    return sc.featurize(src.credit(spark, sf) if raw is None else raw.where(F.col("BILL_AMT6").isNotNull()))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
