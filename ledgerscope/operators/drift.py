@@ -60,8 +60,7 @@ def ks_statistics(long: DataFrame) -> DataFrame:
     counts = long.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
     cum = running_totals(counts, "value", ["r", "c"], ["feature"])
-    per = cum.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    j = cum.join(per, "feature")
+    j = cum.withColumnsRenamed({"tot_r": "n_ref", "tot_c": "n_cur"})
     gap = F.abs(F.try_divide(F.col("cum_r").cast("double"), F.col("n_ref"))
                 - F.try_divide(F.col("cum_c").cast("double"), F.col("n_cur")))
     ks = j.groupBy("feature").agg(F.max(gap).alias("ks_statistic"),

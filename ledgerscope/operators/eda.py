@@ -29,8 +29,7 @@ def exact_quantiles(long: DataFrame, qs=QUARTILES, group: str = "column_name") -
     vals = long.where(F.col("value").isNotNull())
     counts = vals.groupBy(group, "value").agg(F.count(F.lit(1)).alias("k"))
     cum = running_totals(counts, "value", ["k"], [group])
-    n = counts.groupBy(group).agg(F.sum("k").alias("n"))   # one row per group
-    j = cum.join(n, group)
+    j = cum.withColumnRenamed("tot_k", "n")
     aggs = []
     for i, q in enumerate(qs):
         h = (F.col("n") - 1) * F.lit(q)

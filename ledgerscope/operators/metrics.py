@@ -30,26 +30,33 @@ def _counts_by_value(df: DataFrame, groups: list[str], y: str, p: str) -> DataFr
             .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")))
 
 
-def roc_auc(df: DataFrame, groups: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
-    """Exact ROC-AUC, ties count half: sum_v pos_v * (neg_below_v + neg_v / 2) / (P N)."""
+def rank_metrics(df: DataFrame, groups: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
+    """ROC-AUC and average precision from one set of running totals.
+
+    ROC-AUC is exact, ties count half: sum_v pos_v * (neg_below_v + neg_v / 2) / (P N). AP =
+    sum over distinct thresholds (descending) of (R_n - R_{n-1}) * P_n; counts at or above a
+    score are the group's total less the rising sum before it."""
     groups = list(groups or [])
-    cum = running_totals(_counts_by_value(df, groups, y, p), p, ["neg"], groups)
+    cum = running_totals(_counts_by_value(df, groups, y, p), p, ["pos", "neg"], groups)
+    tp = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
+    fp = F.col("tot_neg") - F.col("cum_neg") + F.col("neg")
     return (cum.groupBy(*groups)
             .agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("_s"),
+                 F.sum(F.col("pos") * (tp / (tp + fp))).alias("_a"),
                  F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-            .select(*groups, F.try_divide(F.col("_s"), F.col("_P") * F.col("_N")).alias("roc_auc")))
+            .select(*groups, F.try_divide(F.col("_s"), F.col("_P") * F.col("_N")).alias("roc_auc"),
+                    F.try_divide(F.col("_a"), F.col("_P")).alias("pr_auc")))
+
+
+def roc_auc(df: DataFrame, groups: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
+    """Exact ROC-AUC, see ``rank_metrics``."""
+    return rank_metrics(df, groups, y, p).select(*(groups or []), "roc_auc")
 
 
 def average_precision(df: DataFrame, groups: list[str] | None = None, y: str = "y",
                       p: str = "p") -> DataFrame:
-    """AP = sum over distinct thresholds (descending) of (R_n - R_{n-1}) * P_n."""
-    groups = list(groups or [])
-    cum = running_totals(_counts_by_value(df, groups, y, p), p, ["pos", "neg"], groups,
-                         descending=True)
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return (cum.groupBy(*groups)
-            .agg(F.sum(F.col("pos") * prec).alias("_s"), F.sum("pos").alias("_P"))
-            .select(*groups, F.try_divide(F.col("_s"), F.col("_P")).alias("pr_auc")))
+    """Average precision, see ``rank_metrics``."""
+    return rank_metrics(df, groups, y, p).select(*(groups or []), "pr_auc")
 
 
 def brier(df: DataFrame, groups: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
@@ -104,7 +111,7 @@ def compute_metrics(df: DataFrame, groups: list[str] | None = None, y: str = "y"
     groups = list(groups or [])
     if not groups:   # one constant group keeps every join an equi-join
         return compute_metrics(df.withColumn("_all", F.lit(0)), ["_all"], y, p, threshold).drop("_all")
-    parts = [roc_auc(df, groups, y, p), average_precision(df, groups, y, p),
+    parts = [rank_metrics(df, groups, y, p),
              brier(df, groups, y, p), threshold_metrics(df, groups, y, p, threshold)]
     out = parts[0]
     for other in parts[1:]:
@@ -186,11 +193,9 @@ def roc_curve(df: DataFrame, groups: list[str] | None = None, y: str = "y", p: s
         return roc_curve(df.withColumn("_all", F.lit(0)), ["_all"], y, p).drop("_all")
     cum = running_totals(_counts_by_value(df, groups, y, p), p, ["pos", "neg"], groups,
                          descending=True)
-    tot = cum.groupBy(*groups).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    j = cum.join(tot, groups, "inner")
-    return j.select(*groups, F.col(p).alias("threshold"),
-                    F.try_divide(F.col("cum_neg").cast("double"), F.col("_N")).alias("fpr"),
-                    F.try_divide(F.col("cum_pos").cast("double"), F.col("_P")).alias("tpr"))
+    return cum.select(*groups, F.col(p).alias("threshold"),
+                      F.try_divide(F.col("cum_neg").cast("double"), F.col("tot_neg")).alias("fpr"),
+                      F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos")).alias("tpr"))
 
 
 def _bins_below(p: F.Column, edges: list[float]) -> F.Column:
