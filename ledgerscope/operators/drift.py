@@ -55,10 +55,18 @@ def kolmogorov_pvalue(d: Column, n_ref: Column, n_cur: Column, terms: int = 20)
     return F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q)))
 
 
+def value_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, r, c): rows of either side, the one table that KS and PSI read."""
+    return long.groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
+
+
 def ks_statistics(long: DataFrame) -> DataFrame:
     """Per feature: n_ref, n_cur, ks_statistic (unrounded), ks_p_value (asymptotic)."""
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
+    return ks_of_counts(value_counts(long))
+
+
+def ks_of_counts(counts: DataFrame) -> DataFrame:
     cum = running_totals(counts, "value", ["r", "c"], ["feature"])
     j = cum.withColumnsRenamed({"tot_r": "n_ref", "tot_c": "n_cur"})
     gap = F.abs(F.try_divide(F.col("cum_r").cast("double"), F.col("n_ref"))
@@ -69,27 +77,23 @@ def ks_statistics(long: DataFrame) -> DataFrame:
                                                          F.col("n_cur").cast("double")))
 
 
-def _edges(long: DataFrame, bins: int) -> DataFrame:
-    mm = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return mm.select("feature", *[(F.lit(float(i)) * step + F.col("lo")).alias(f"e{i}")
-                                  for i in range(1, bins)])
-
-
 def psi_values(long: DataFrame, bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
     """Per feature: PSI over equal-width bins of the joint range (unrounded)."""
-    edges = _edges(long, bins)
+    return psi_of_counts(value_counts(long), bins, eps)
+
+
+def psi_of_counts(counts: DataFrame, bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
+    ends = counts.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                         F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    edges = ends.select("feature", "nr", "nc", *[(F.lit(float(i)) * step + F.col("lo")).alias(f"e{i}") for i in range(1, bins)])
     # one row per feature: bounded by the number of features -> broadcast
-    binned = long.join(F.broadcast(edges), "feature").select(
-        "feature", "side",
+    binned = counts.join(F.broadcast(edges), "feature").select(
+        "feature", "r", "c", "nr", "nc",
         reduce(lambda a, b: a + b, [F.when(F.col("value") >= F.col(f"e{i}"), 1).otherwise(0)
                                     for i in range(1, bins)]).alias("bin"))
-    cnt = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
-    tot = binned.groupBy("feature").agg(F.count_if(F.col("side") == 0).alias("nr"),
-                                        F.count_if(F.col("side") == 1).alias("nc"))
     # absent bins contribute (eps - eps) * ln(1) = 0, so only present bins are summed
-    j = cnt.join(tot, "feature")
+    j = binned.groupBy("feature", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.first("nr").alias("nr"), F.first("nc").alias("nc"))
     rp = F.try_divide(F.col("r").cast("double"), F.col("nr")) + F.lit(eps)
     cp = F.try_divide(F.col("c").cast("double"), F.col("nc")) + F.lit(eps)
     return j.groupBy("feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("psi"))
@@ -102,10 +106,10 @@ def drift_report(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
     statistic and p-value, KS drift flag (unrounded statistic > threshold), rounded
     PSI and its flag, and the combined flag."""
     cols = columns or shared_numeric_columns(ref, cur)
-    long = long_values(ref, cur, cols)
-    ks = ks_statistics(long).where((F.col("n_ref") >= min_rows) & (F.col("n_cur") >= min_rows))
-    psi = psi_values(long)
-    j = ks.join(psi, "feature")
+    counts = value_counts(long_values(ref, cur, cols))
+    ks = ks_of_counts(counts).where((F.col("n_ref") >= min_rows) & (F.col("n_cur") >= min_rows))
+    # a row a feature on either side
+    j = ks.join(F.broadcast(psi_of_counts(counts)), "feature")
     psi_r = F.round(F.col("psi"), 4)
     return j.select("feature", "n_ref", "n_cur",
                     F.round("ks_statistic", 4).alias("ks_statistic"),
