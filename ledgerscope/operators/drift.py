@@ -13,8 +13,11 @@ feature is tested in the same jobs -- no Python loop of actions per column.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,8 @@ from ledgerscope.operators.cumulative import running_totals
 from ledgerscope.schema import (DRIFT_MIN_ROWS, KS_THRESHOLD, PSI_BINS, PSI_EPS, PSI_THRESHOLD,
                                 TARGET, ID_COL)
 
+EXACT_ROWS = 10_000       # samples up to this size get the exact p-value
+
 
 def shared_numeric_columns(ref: DataFrame, cur: DataFrame,
                            exclude: tuple[str, ...] = (ID_COL, TARGET)) -> list[str]:
@@ -55,6 +60,53 @@ def kolmogorov_pvalue(d: Column, n_ref: Column, n_cur: Column, terms: int = 20)
     return F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q)))
 
 
+def lattice_pvalue(k: int, n: int, m: int) -> float:
+    """Exact P(D >= d) of the two-sample statistic d = k / (n m): one less the share of lattice
+    paths from (0, 0) to (n, m) that stay where |i m - j n| < k. Paths are added up row by row
+    inside that band; a row is divided by its largest number, so nothing overflows."""
+    if k <= 0:
+        return 1.0
+    lo, hi, scale = 0, min(m, (k - 1) // n), 0.0
+    row = np.ones(hi - lo + 1)               # paths to (0, j) for j = lo .. hi
+    for i in range(1, n + 1):
+        new_lo, new_hi = max(0, (i * m - k) // n + 1), min(m, (i * m + k - 1) // n)
+        if new_lo > new_hi:
+            return 1.0
+        from_left = np.zeros(new_hi - new_lo + 1)
+        a, b = max(lo, new_lo), min(hi, new_hi)
+        if a <= b:
+            from_left[a - new_lo:b - new_lo + 1] = row[a - lo:b - lo + 1]
+        row, lo, hi = from_left.cumsum(), new_lo, new_hi
+        top = row.max()
+        if top <= 0:
+            return 1.0
+        row, scale = row / top, scale + math.log(top)
+    if hi < m or row[-1] <= 0:
+        return 1.0
+    total = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return min(1.0, max(0.0, -math.expm1(scale + math.log(row[-1]) - total)))
+
+
+def exact_ks(counts: DataFrame, most_rows: int = EXACT_ROWS) -> DataFrame:
+    """Per feature: n_ref, n_cur, ks_statistic and the exact p-value where both samples have at
+    most ``most_rows`` rows, else the asymptotic one. The lattice is walked on the result
+    rows, one a feature, in Arrow batches."""
+    cum = running_totals(counts, "value", ["r", "c"], ["feature"])
+    gap = F.abs(F.col("cum_r") * F.col("tot_c") - F.col("cum_c") * F.col("tot_r"))
+    one = cum.groupBy("feature").agg(F.first("tot_r").alias("n_ref"), F.first("tot_c").alias("n_cur"), F.max(gap).alias("_k"))
+    one = one.where("n_ref > 0 AND n_cur > 0").withColumn("ks_statistic", F.col("_k") / (F.col("n_ref") * F.col("n_cur")))
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            small = (pdf["n_ref"] <= most_rows) & (pdf["n_cur"] <= most_rows)
+            yield pdf.assign(exact=[lattice_pvalue(int(k), int(n), int(m)) if ok else None
+                                    for k, n, m, ok in zip(pdf["_k"], pdf["n_ref"], pdf["n_cur"], small, strict=True)])
+    got = one.mapInPandas(walk, T.StructType([*one.schema.fields, T.StructField("exact", T.DoubleType())]))
+    about = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    return got.select("feature", "n_ref", "n_cur", "ks_statistic", F.coalesce("exact", about).alias("ks_p_value"),
+                      F.col("exact").isNotNull().alias("is_exact"))
+
+
 def value_counts(long: DataFrame) -> DataFrame:
     """(feature, value, r, c): rows of either side, the one table that KS and PSI read."""
     return long.groupBy("feature", "value").agg(

@@ -118,6 +118,34 @@ def q_drift_summary(spark, sf, raw=None):
     return D.drift_summary(D.drift_report(ref, cur, FEATS)).withColumn("drifted_features", F.array_join("drifted_features", ","))
 
 
+# a band row's paths are sums over the row before: one list per number of reference rows walked
+LATTICE = f"""sg AS (SELECT CAST(AGE AS VARCHAR) AS feature, BILL_AMT1 AS value,
+              COUNT(*) FILTER (WHERE AS_OF < DATE '{CUT}') AS r, COUNT(*) FILTER (WHERE AS_OF >= DATE '{CUT}') AS c
+       FROM feat WHERE BILL_AMT1 IS NOT NULL AND AGE IS NOT NULL GROUP BY ALL),
+sc AS (SELECT *, SUM(r) OVER w AS cr, SUM(c) OVER w AS cc, SUM(r) OVER (PARTITION BY feature) AS n, SUM(c) OVER (PARTITION BY feature) AS m
+       FROM sg WINDOW w AS (PARTITION BY feature ORDER BY value)),
+sk AS (SELECT feature, CAST(MAX(n) AS BIGINT) AS n, CAST(MAX(m) AS BIGINT) AS m, CAST(MAX(ABS(cr * m - cc * n)) AS BIGINT) AS k
+       FROM sc WHERE n > 0 AND m > 0 GROUP BY feature),
+sp AS (SELECT *, list_reduce(
+         [list_transform(range(m + 1), lambda j: CASE WHEN j * n < k THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)]
+         || list_transform(range(1, n + 1), lambda i: [i::DOUBLE]),
+         lambda acc, x: list_transform(range(m + 1), lambda j: CASE WHEN abs(x[1] * m - j * n) < k
+           THEN list_sum(acc[greatest(0, floor((x[1] * m - k) / n) + 1)::BIGINT + 1 : j + 1]) ELSE 0.0::DOUBLE END)) AS ends
+       FROM sk)"""
+
+
+@register("ks_exact_pvalue", sql(*O.BASE[:3], LATTICE, body="""
+SELECT feature, n AS n_ref, m AS n_cur, ROUND(CAST(k AS DOUBLE) / (n * m), 6) AS ks_statistic,
+       ROUND(CASE WHEN k = 0 THEN 1.0 ELSE 1 - exp(ln(ends[m + 1]) - (lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1))) END, 6) AS ks_p_value
+FROM sp"""))
+def q_ks_exact_pvalue(spark, sf):
+    """D1p: bills of the current against the reference period by age, exact in small samples."""
+    f = features(spark, sf).where(F.col("AGE").isNotNull() & F.col("BILL_AMT1").isNotNull())
+    counts = f.groupBy(F.col("AGE").cast("string").alias("feature"), F.col("BILL_AMT1").alias("value")).agg(
+        F.count_if(F.col("AS_OF") < F.lit(DRIFT_CUTOFF)).alias("r"), F.count_if(F.col("AS_OF") >= F.lit(DRIFT_CUTOFF)).alias("c"))
+    return round_doubles(D.exact_ks(counts).drop("is_exact"))
+
+
 SCORE_SIDES = f"""slv AS (SELECT 'risk_score' AS feature, CAST(risk_score AS DOUBLE) AS value,
                  CASE WHEN AS_OF < DATE '{CUT}' THEN 0 ELSE 1 END AS side FROM scored)"""
 

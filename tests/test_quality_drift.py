@@ -123,3 +123,35 @@ def test_score_shift_same_scores(spark):
 def test_drift_report_skips_small_features(spark):
     ref, cur = _samples(spark, np.arange(10.0), np.arange(10.0))
     assert D.drift_report(ref, cur, ["value"]).count() == 0
+
+
+def test_lattice_pvalue_equals_enumeration():
+    """All ways to interleave two samples, up to 12 rows in all, and a few with more."""
+    from itertools import combinations
+    for n, m in [(1, 1), (2, 3), (4, 4), (3, 7), (5, 7), (6, 6)]:
+        worst = []
+        for at in combinations(range(n + m), n):
+            i = j = k = 0
+            for t in range(n + m):
+                i, j = (i + 1, j) if t in at else (i, j + 1)
+                k = max(k, abs(i * m - j * n))
+            worst.append(k)
+        for k in {*worst, 0, 1, n * m + 1}:
+            assert D.lattice_pvalue(k, n, m) == pytest.approx(np.mean(np.array(worst) >= k) if k else 1.0, abs=1e-12)
+    # large samples tend to the asymptotic value, without overflow
+    n = 4000
+    k = int(0.03 * n * n)
+    z = np.sqrt(n / 2) * k / n ** 2
+    assert D.lattice_pvalue(k, n, n) == pytest.approx(2 * sum((-1) ** (i - 1) * np.exp(-2 * i * i * z * z) for i in range(1, 20)), abs=5e-3)
+
+
+def test_exact_ks_by_size(spark):
+    rng = np.random.default_rng(3)
+    rows = [("small", float(x), 0) for x in rng.normal(size=9)] + [("small", float(x), 1) for x in rng.normal(1, 1, 11)]
+    rows += [("large", float(x), int(t)) for x, t in zip(rng.normal(size=200), rng.integers(0, 2, 200))] + [("alone", 1.0, 0)]
+    df = spark.createDataFrame(rows, "feature string, value double, side int")
+    got = {r.feature: r for r in D.exact_ks(D.value_counts(df), most_rows=50).collect()}
+    assert set(got) == {"small", "large"} and got["small"].is_exact and not got["large"].is_exact
+    s = [np.array([v for f, v, t in rows if f == "small" and t == side]) for side in (0, 1)]
+    assert got["small"].ks_statistic == pytest.approx(_ks_brute(*s))
+    assert got["small"].ks_p_value == pytest.approx(D.lattice_pvalue(round(_ks_brute(*s) * 99), 9, 11))
