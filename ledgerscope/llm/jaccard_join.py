@@ -25,9 +25,10 @@ Skew: keys of frequent tokens are salted by document; lists are reduced per key
 map-side minima; AQE splits the joins that carry rows to leaders. The table of frequent
 tokens has at most 2**20 entries (each has at least that share of all tokens).
 
-Results: null and wordless texts have the empty set and are alone; repeated doc_ids are
-one document (they are expected to repeat the text); an empty table gives an empty result;
-very long texts are one set; a null doc_id gives a null component.
+Results: one row per row of the table. Null and wordless texts have the empty set and are
+alone; every row is a document of its own, also where rows repeat a doc_id or have none
+(work is keyed by a row id), and a component is named by the smallest doc_id in it, null if
+none of its rows has one; an empty table gives an empty result; very long texts are one set.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ FREQUENT_SHARE = 1 << 20        # a token is frequent from a share of 1 / 2**20
 FREQUENT_LEAST = 16
 COUNT_TOKENS = 2 << 20          # tokens counted together in a task before they are emitted
 SALTS = 64
+PIECE = 100_000                 # postings of one list stored together
 BITS = 1024                     # of a set's parity bitmap at least
 BEFORE = 8                      # keys before a posting by which a later meeting of a pair is left out
 BROADCAST_IDS = 500_000         # ids (8 bytes each) that may be broadcast
@@ -164,8 +166,8 @@ def boundary(mean_list: float) -> int:
 
 
 def keys(docs: DataFrame, frequent, bound: int) -> DataFrame:
-    """(key, id, tag, salt): tag is 2 * position, + 1 for a subset's key; salt is 0 unless
-    the key is made of frequent tokens only."""
+    """(key, id, at, salt): at is n * 2**32 + tag for a set of n; tag is 2 * position, + 1
+    for a subset's key; salt is 0 unless the key is made of frequent tokens only."""
     band = least_overlap(bound + 1)      # smaller sets can't link with a heavy one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,11 +175,12 @@ def keys(docs: DataFrame, frequent, bound: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, data, offsets, _ in X.blocks(batch.column(1)):
-                out_key, out_tag, out_salt, out_n = [], [], [], []
+                out_key, out_tag, out_salt, out_n, size = [], [], [], [], []
                 for r, s in enumerate(shingle_sets(data, offsets)):
                     n, made = len(s), 0
                     if not n:
                         out_n.append(0)
+                        size.append(0)
                         continue
                     at = np.searchsorted(hot, s)
                     lv = np.where(hot[np.minimum(at, len(hot) - 1)] == s, level[np.minimum(at, len(hot) - 1)], 0) \
@@ -199,17 +202,44 @@ def keys(docs: DataFrame, frequent, bound: int) -> DataFrame:
                         out_salt.append(np.where((lv[a] > 0) & (lv[b] > 0), salt, 0))
                         made += len(a)
                     out_n.append(made)
+                    size.append(n)
                 if out_key:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(X.signed(np.concatenate(out_key))), pa.array(np.repeat(ids[i:i + len(out_n)], out_n)),
-                         pa.array(np.concatenate(out_tag).astype(np.int32)),
-                         pa.array(np.concatenate(out_salt).astype(np.int32))], names=["key", "id", "tag", "salt"])
-    return docs.mapInArrow(run, "key long, id long, tag int, salt int")
+                         pa.array(np.repeat(np.array(size, np.int64) << 32, out_n) + np.concatenate(out_tag)),
+                         pa.array(np.concatenate(out_salt).astype(np.int32))], names=["key", "id", "at", "salt"])
+    return docs.mapInArrow(run, "key long, id long, at long, salt int")
+
+
+def lists(posted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, node, tag, n, c) of the lists with c > 1 members. Keys whose lists have the same
+    members are one key, named by a hash of them, at each member's first position.
+
+    A key that is not salted lies in one window, which counts and names its list without a
+    further shuffle; only the salted keys' pieces are put together by an aggregate. The rows
+    of a list are stored together, in pieces of about PIECE."""
+    w = W.partitionBy("key", "salt")
+    x, y = F.bit_xor(F.xxhash64("id", F.lit(1))), F.bit_xor(F.xxhash64("id", F.lit(2)))
+
+    def name(x, y):
+        return F.xxhash64(x, y, "c", F.expr("at % 2"))
+    live = (posted.withColumn("c", F.count("*").over(w)).filter("salt > 0 or c > 1")
+            .withColumn("x", x.over(w)).withColumn("y", y.over(w)))
+    live = scratch.save(live.select(F.when(F.col("salt") > 0, F.col("key")).otherwise(name("x", "y")).alias("key"), "id", "at", "salt", "c"))
+    salted = live.filter("salt > 0").drop("c")
+    whole = salted.groupBy("key").agg(F.count("*").alias("c"), x.alias("x"), y.alias("y")).filter("c > 1")
+    both = live.filter("salt = 0").select("key", "id", "at", "c").union(salted.join(whole, "key").select(name("x", "y"), "id", "at", "c"))
+    dealt = both.withColumn("piece", F.expr(f"pmod(xxhash64(id), 1 + c div {PIECE})")).repartition("key", "piece")
+    first = dealt.groupBy("key", "piece", "id").agg(F.min("at").alias("at"), F.max("c").alias("c"))
+    posts = scratch.save(first.select("key", F.col("id").alias("node"), F.expr("int(at & 4294967295)").alias("tag"),
+                                      F.expr("shiftright(at, 32)").alias("n"), "c"))
+    scratch.drop(live)
+    return posts
 
 
 # ------------------------------------------------------------------ pairs
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link, from the whole texts."""
+def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose sets link, from the whole texts (node, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: OrderedDict[int, np.ndarray] = OrderedDict()
 
@@ -239,28 +269,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, h in zip(a, hit, strict=True) if h], pa.int64()),
                      pa.array([y for y, h in zip(b, hit, strict=True) if h], pa.int64())], names=["a", "b"])
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+    # b are the many members of lists, a their few leaders: each member's text moves twice
+    both = (pairs.join(rows_of(texts, pairs, "b", scratch).withColumnRenamed("text", "text_b"), "b")
+            .join(rows_of(texts, pairs, "a", scratch).withColumnRenamed("text", "text_a"), "a"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def of_pairs(rows: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows (by ``node``) of the nodes in the pairs. Their ids are broadcast only while
-    their counted number stays within BROADCAST_IDS; else the ids are joined by a shuffle."""
-    ids = scratch.save(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+def chosen(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows whose ``name`` is among the saved ids. These are broadcast only while their
+    counted number stays within BROADCAST_IDS; else they are joined by a shuffle."""
     small = ids.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if small else ids, "node", "left_semi")
+    return rows.join(F.broadcast(ids) if small else ids, name, "left_semi")
+
 
+def rows_of(rows: DataFrame, pairs: DataFrame, end: str, scratch: Scratch) -> DataFrame:
+    """The rows (by ``node``) of the nodes at one end of the pairs, under that end's name."""
+    return chosen(rows.withColumnRenamed("node", end), scratch.save(pairs.select(end).distinct()), end)
 
-def possible(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+
+def possible(pairs: DataFrame, wide: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs that the wide bitmaps (node, n, wide) leave possible."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*[batch.column(c).to_pylist() for c in range(2, 6)], strict=True)
             yield batch.filter(pa.array([may_link(x, y, n, m) for n, m, x, y in rows], pa.bool_())).select(["a", "b"])
-    x = wide.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("w_a"))
-    y = wide.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("w_b"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "w_a", "w_b").mapInArrow(run, "a long, b long")
+    y = rows_of(wide.toDF("node", "n_b", "w_b"), pairs, "b", scratch)
+    x = rows_of(wide.toDF("node", "n_a", "w_a"), pairs, "a", scratch)
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "n_a", "n_b", "w_a", "w_b").mapInArrow(run, "a long, b long")
 
 
 def merged(comp: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -287,21 +322,23 @@ def allowed(bound: int):
     return cond
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 8,
-                tries: int = 2, bound: int | None = None) -> DataFrame:
-    """Per document: id, n_shingles, component_id (smallest id that links reach).
+def near_rows(rows: DataFrame, id_col: str = "row", text_col: str = "text", part: int = 8,
+              tries: int = 2, bound: int | None = None) -> DataFrame:
+    """Per row of a stored table, whose ids are unique and not null: id, n_shingles,
+    component_id (smallest id that links reach).
 
     part, tries: size of the parts that get a leader each in the later rounds, and how often
     a list is dealt into parts in the last of them; they change the work, never the result.
     """
-    spark: SparkSession = docs.sparkSession
+    spark: SparkSession = rows.sparkSession
     scratch = Scratch(spark)
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     seen = scratch.save(profile(src))
-    sets = seen.filter("kind = 0 and id is not null").groupBy("id").agg(F.max(F.struct("n", "s1", "s2", "wide")).alias("s")).select("id", "s.*")
+    sets = seen.filter("kind = 0")
     rep = sets.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("node"))
-    members = scratch.save(sets.join(rep, ["n", "s1", "s2"], "left").select("id", "n", F.coalesce("node", "id").alias("node"), "wide"))
-    total = seen.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    members = scratch.save(sets.select("id", "n", "s1", "s2").join(rep, ["n", "s1", "s2"], "left")
+                           .select("id", "n", F.coalesce("node", "id").alias("node")))
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = seen.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("c"))
     limit = max(FREQUENT_LEAST, total // FREQUENT_SHARE)
     hot = counts.filter(F.col("c") >= limit).toPandas()            # at most 2**20 rows
@@ -312,17 +349,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if bound is None:
         cold = counts.filter(F.col("c") < limit).agg(F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()[0]
         bound = boundary(1 + cold / max(1, total))
-    w = W.partitionBy("key", "salt")
-    live = scratch.save(keys(src.filter("id is not null"), frequent, bound).withColumn("c", F.count("*").over(w))
-                        .filter("salt > 0 or c > 1").select("key", "id", "tag"))
-    nodes = scratch.save(live.join(members.select("id", "node", "n"), "id").groupBy("key", "node").agg(F.min("tag").alias("tag"), F.max("n").alias("n")))
-    scratch.drop(live)
-    # keys whose lists have the same members are one key, at each member's first position
-    lists = nodes.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
-                                     F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y")).filter("c > 1")
-    same = nodes.join(lists, "key").select(F.struct("x", "y", "c", F.expr("tag % 2").alias("subset")).alias("key"), "node", "tag", "n", "c")
-    posts = scratch.save(same.groupBy("key", "node").agg(F.min("tag").alias("tag"), F.max("n").alias("n"), F.max("c").alias("c")))
+    # of equal sets one row posts keys
+    nodes = scratch.save(members.filter("id = node and n > 0").select("id"))
+    posts = lists(keys(chosen(src, nodes, "id"), frequent, bound), scratch)
     scratch.drop(nodes)
+    wide = sets.select(F.col("id").alias("node"), "n", "wide")
+    texts = src.withColumnRenamed("id", "node")
     ok = allowed(bound)
     comp = None
     for step, (size, tries) in enumerate([(None, 1), (part, 1), (part, tries), (0, 0)]):
@@ -330,7 +362,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cur = posts.withColumn("comp", F.col("node"))
         else:
             cur = posts.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        cur = cur.select("key", "node", "tag", "n", "comp", "c")
         if tries:
             cur = cur.withColumn("part", F.lit(0).cast("long"))
             if size:   # members of longer lists in parts of about `size`, dealt by key and node, `tries` times
@@ -338,25 +369,38 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 n_parts = F.expr(f"(c + {size - 1}) div {size}")
                 cur = (cur.filter(f"c > {size}").withColumn("t", deal)
                        .withColumn("part", F.pmod(F.xxhash64("key", "node", "t", F.lit(step)), n_parts) * tries + F.col("t")))
+            cur = cur.select("key", "part", "node", "tag", "n", "comp")
             lead = (cur.groupBy("key", "part").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("o"), "node", "tag", "n", "comp")).alias("m"),
-                                           F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                                                   F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                     .filter("lo <> hi").select("key", "part", "m.node", "m.tag", "m.n", "m.comp"))
-            found = cur.alias("x").join(lead.alias("y"), ["key", "part"]).filter(F.expr("x.comp <> y.comp") & ok("x", "y"))
+            found = cur.alias("y").join(lead.alias("x"), ["key", "part"]).filter(F.expr("x.comp <> y.comp") & ok("x", "y"))
         else:          # the rest: all pairs of different components that a key still brings together
+            cur = cur.select("key", "node", "tag", "n", "comp")
             open_keys = cur.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
             # a pair is met at its first common key: later ones see that key among those before
-            before = W.partitionBy("node", "key.subset").orderBy("tag", "key").rowsBetween(-BEFORE, -1)
-            cur = scratch.save(cur.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list(F.xxhash64("key")).over(before)))
+            before = W.partitionBy("node", F.expr("tag % 2")).orderBy("tag", "key").rowsBetween(-BEFORE, -1)
+            cur = scratch.save(cur.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(before)))
             found = (cur.alias("x").join(cur.alias("y"), "key")
                      .filter(F.expr("x.node < y.node and x.comp <> y.comp and not arrays_overlap(x.before, y.before)") & ok("x", "y")))
-        pairs = scratch.save(found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-        wide = scratch.save(of_pairs(members.filter("id = node").select("node", "n", "wide"), pairs, scratch))
-        left = scratch.save(possible(pairs, wide))
-        texts = scratch.save(of_pairs(src.withColumnRenamed("id", "node"), left, scratch).groupBy("node").agg(F.max("text").alias("text")))
-        found = scratch.save(verified(left, texts))
-        comp = scratch.save(merged(comp, found, scratch))
-        scratch.drop(pairs, wide, left, texts, found)
+        pairs = scratch.save(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+        left = scratch.save(possible(pairs, wide, scratch))
+        links = scratch.save(verified(left, texts, scratch))
+        comp = scratch.save(merged(comp, links, scratch))
+        scratch.drop(pairs, left, links)
     scratch.drop(posts, cur)
-    smallest = members.drop("wide").join(comp, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
-    return (smallest.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
-            .union(seen.filter("kind = 0 and id is null").select("id", "n", F.lit(None).cast("long"))))
+    linked = members.join(comp, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 8,
+                tries: int = 2, bound: int | None = None) -> DataFrame:
+    """Per row of docs: id, n_shingles, component_id (smallest doc_id that links reach);
+    part, tries and bound as in ``near_rows``."""
+    scratch = Scratch(docs.sparkSession)
+    # saved, so that all later plans see the same row ids
+    rows = scratch.save(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("own"),
+                                    F.col(text_col).cast("string").alias("text")))
+    found = near_rows(rows, "row", "text", part, tries, bound).withColumnRenamed("component_id", "component")
+    of_rows = scratch.save(found.join(rows.select("row", "own"), "row").select("own", "n_shingles", "component"))
+    least = of_rows.groupBy("component").agg(F.min("own").alias("component_id"))
+    return of_rows.join(least, "component").select(F.col("own").alias(id_col), "n_shingles", "component_id")
