@@ -33,9 +33,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written to the cluster's shared checkpoint folder: they cut lineage and
-    survive lost executors. ``drop`` removes those that no later plan reads."""
+    survive lost executors. The shuffle files of the job that writes one go with the job.
+    ``drop`` removes tables that no later plan reads."""
 
     def __init__(self, spark: SparkSession):
         ship(spark)
@@ -43,10 +47,18 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.n = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, codec: str | None = None) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path, compression=codec)
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.parquet(path)
         out.scratch_path = path
         return out

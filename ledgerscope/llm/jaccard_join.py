@@ -399,7 +399,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(docs.sparkSession)
     # saved, so that all later plans see the same row ids
     rows = scratch.save(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("own"),
-                                    F.col(text_col).cast("string").alias("text")))
+                                    F.col(text_col).cast("string").alias("text")), "zstd")
     found = near_rows(rows, "row", "text", part, tries, bound).withColumnRenamed("component_id", "component")
     of_rows = scratch.save(found.join(rows.select("row", "own"), "row").select("own", "n_shingles", "component"))
     least = of_rows.groupBy("component").agg(F.min("own").alias("component_id"))
