@@ -7,7 +7,9 @@ path starts with its path, and the longest fitting rule decides. Urls that a rul
 are the labelled ones; trees learn from them to judge the rest by lexical features: length,
 depth, digit ratio, character entropy, counts of parameters, labels and hyphens, and the
 share of blocked urls among labelled ones of the same host suffix and file suffix
-(smoothed; the suffix tables are broadcast below SUFFIX_ROWS rows and joined beyond).
+(smoothed; the suffix tables are broadcast below SUFFIX_ROWS rows and joined beyond). While
+fitting, a labelled url's shares come from the urls of the other FOLDS - 1 folds, so that no
+share holds the url's own label.
 
 Fitting uses at most ``fit_rows`` labelled urls (least hash of the id first); Spark ML
 builds the trees from histograms of these. Every url is judged.
@@ -24,6 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ledgerscope.llm._shared import Scratch
 
@@ -31,6 +34,7 @@ RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
          ("net/es/", "block"), ("net/fr/", "block")]
 FIT_ROWS = 20_000
 SUFFIX_ROWS = 100_000
+FOLDS = 5
 PRIOR = 10.0           # labelled urls that an even share counts as in a suffix's share
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -99,6 +103,15 @@ def with_share(d: DataFrame, fit: DataFrame, suffix: str, name: str, overall: fl
     return d.join(F.broadcast(table) if few else table, suffix, "left").withColumn(name, F.coalesce(name, F.lit(overall)))
 
 
+def out_of_fold(fit: DataFrame, suffix: str, name: str, overall: float) -> DataFrame:
+    """Adds to each labelled url (at most ``fit_rows`` of them) its suffix's share among the
+    urls of the other folds."""
+    every, own = W.partitionBy(suffix), W.partitionBy(suffix, "fold")
+    blocked = F.sum("y").over(every) - F.sum("y").over(own)
+    n = F.count("*").over(every) - F.count("*").over(own)
+    return fit.withColumn(name, (blocked + PRIOR * overall) / (n + PRIOR))
+
+
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str]] = RULES,
           fit_rows: int = FIT_ROWS, trees: int = 12, depth: int = 4, threshold: float = 0.5) -> DataFrame:
     """Per row: id, host, path, rule, verdict, p_block (the trees' probability)."""
@@ -107,15 +120,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     fit = scratch.save(d.filter(F.col("ruled").isNotNull() & F.col("row").isNotNull())
                        .withColumn("y", (F.col("ruled") == "block").cast("double"))
                        .orderBy(F.xxhash64("row", F.lit(2)), "url").limit(fit_rows)
-                       .select("host_suffix", "file_suffix", "y", *FEATURES[:-2]))
+                       .select("host_suffix", "file_suffix", "y", F.pmod(F.xxhash64("row", F.lit(5)), FOLDS).alias("fold"), *FEATURES[:-2]))
     n, blocked = fit.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     overall = blocked / n if n else 0.0
     if overall in (0.0, 1.0):
         scored = d.withColumn("p_block", F.lit(overall))
     else:
-        wide = [x for x in (d, fit)]
+        wide = [d, fit]
         for suffix, name in (("host_suffix", "f_host_share"), ("file_suffix", "f_file_share")):
-            wide = [with_share(x, fit, suffix, name, overall) for x in wide]
+            wide = [with_share(wide[0], fit, suffix, name, overall), out_of_fold(wide[1], suffix, name, overall)]
         # both verdicts weigh the same, whatever the rules' shares are
         weight = F.when(F.col("y") == 1, n / (2.0 * blocked)).otherwise(n / (2.0 * (n - blocked)))
         wide[1] = wide[1].withColumn("w", weight)
