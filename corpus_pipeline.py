@@ -16,8 +16,9 @@ from ledgerscope.llm import decontaminate, jaccard_join, langid_crf, queries, se
 from ledgerscope.llm._shared import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: a text whose best language has a mean posterior below this is rejected, as ``und`` is
-LEAST_SCORE = 0.25
+#: a text whose best language has a mean posterior below this, so that other languages
+#: together outweigh it, is rejected, as ``und`` is
+LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = numbered(docs, scratch)
     ids = docs.select("row", "doc_id")
-    linked = scratch.save(jaccard_join.near_groups(docs, id_col="row").filter("component_id <> row").select("row", "component_id"))
+    linked = scratch.save(jaccard_join.near_rows(docs, "row").filter("component_id <> row").select("row", "component_id"))
     few = linked.count() <= jaccard_join.BROADCAST_IDS
     # a group's smallest row is its component and stands in no row of linked
     roots = linked.select(F.col("component_id").alias("row"), "component_id").distinct()
