@@ -52,7 +52,7 @@ FREQUENT_LEAST = 16
 COUNT_TOKENS = 2 << 20          # tokens counted together in a task before they are emitted
 SALTS = 64
 PIECE = 100_000                 # postings of one list stored together
-BITS = 1024                     # of a set's parity bitmap at least
+BITS = 256                      # of a set's parity bitmap at least
 BEFORE = 8                      # keys before a posting by which a later meeting of a pair is left out
 BROADCAST_IDS = 500_000         # ids (8 bytes each) that may be broadcast
 
@@ -86,8 +86,9 @@ def parity(s: np.ndarray, bits: int) -> np.ndarray:
 
 
 def wide_parity(s: np.ndarray) -> bytes:
-    """A bitmap of at least four bits a token."""
-    return parity(s, max(BITS, 1 << (4 * len(s) - 1).bit_length())).tobytes() if len(s) else b""
+    """A bitmap of one to two bits a token: pairs carry it through shuffles, and beyond the
+    bits that two linked sets may differ in, unrelated sets differ in far more of these too."""
+    return parity(s, max(BITS, 1 << (len(s) - 1).bit_length())).tobytes() if len(s) else b""
 
 
 def may_link(x: bytes, y: bytes, n: int, m: int) -> bool:
