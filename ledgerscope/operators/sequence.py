@@ -6,7 +6,9 @@ key has pieces: a key of ordinary size has one, a hot key (more than ``1 / MAX_H
 all rows, and more than ``MIN_HOT_ROWS``) is cut by quantiles of its first order column.
 Lags are taken by a plain window over ``(key, piece)``, so nothing here is Python, unused
 lags are pruned, and no job runs before the caller's action: piece numbers come from
-counts and quantiles of the data, which every consumer finds alike.
+counts and exact quantiles of coarse values (days, or numbers cut to STEPS of their
+magnitude), which depend on the rows only, not on how these are dealt over tasks; so every
+consumer finds the same cuts, however often a plan computes them.
 
 Only the first ``k`` rows of a hot key's later pieces have predecessors elsewhere. They and
 the last ``k`` rows of the pieces form a side table on which a window by key finds the
@@ -19,16 +21,32 @@ stay in one piece. No row is lost or repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_HOT = 4096          # a key with more than 1/4096 of all rows is cut
 MIN_HOT_ROWS = 100_000  # but none below this
 SPLITS = 256            # most pieces of one key
+STEPS = 1 << 16         # coarse values between a power of two and the next
+DAY = 86_400_000_000    # microseconds
 
 _KEY, _PIECES, _CUTS, _PIECE, _RN, _LAST = "_seq_key", "_seq_n", "_seq_cuts", "_seq_piece", "_seq_rn", "_seq_last"
 
 
+def position(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """A date, time or number as a number, and its coarse value, of which there are few."""
+    kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c), F.unix_date(c)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        at = F.unix_micros(c.cast("timestamp"))
+        return at, F.floor(at / DAY) * DAY
+    at = c.cast("double")
+    step = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(at)))) / STEPS
+    return at, F.when(at == 0, 0.0).otherwise(F.floor(at / step) * step)
+
+
 def hot_keys(sizes: DataFrame, key: str, first: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Fewer than MAX_HOT rows: hot key, its number of pieces, quantiles of ``first``."""
     counts = sizes.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("_n"))
@@ -37,9 +55,10 @@ def hot_keys(sizes: DataFrame, key: str, first: str, min_rows: int = MIN_HOT_ROW
     hot = (counts.where(F.col("_n") > most)
            .select(_KEY, F.least(F.lit(SPLITS), F.ceil(F.col("_n") / most)).cast("int").alias(_PIECES)))
     at = [i / SPLITS for i in range(1, SPLITS)]
-    return (sizes.select(F.col(key).alias("_k"), F.col(first).alias("_o"))
+    return (sizes.select(F.col(key).alias("_k"), position(sizes, first)[1].cast("double").alias("_o"))
             .join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col(_KEY)))
-            .groupBy(_KEY, _PIECES).agg(F.percentile_approx("_o", at, 10 * SPLITS).alias(_CUTS)))
+            .groupBy(_KEY, _PIECES, "_o").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(_KEY, _PIECES).agg(F.percentile("_o", at, F.col("_n")).alias(_CUTS)))
 
 
 def lag_within_group(df: DataFrame, key: str, order: list[str], values: list[str], k: int,
@@ -52,7 +71,8 @@ def lag_within_group(df: DataFrame, key: str, order: list[str], values: list[str
     lag_names = [f"{v}_lag{j}" for j in range(1, k + 1) for v in values]
     hot = hot_keys(df if sizes is None else sizes, key, order[0], min_rows)
 
-    below = F.size(F.filter(_CUTS, lambda c: c <= F.col(order[0])))
+    here = position(df, order[0])[0]
+    below = F.size(F.filter(_CUTS, lambda c: c <= here))
     piece = F.floor(below * F.col(_PIECES) / F.lit(SPLITS)).cast("int")
     same = F.col(key).eqNullSafe(F.col(_KEY))
     by_piece = Window.partitionBy(key, _PIECE).orderBy(*order)

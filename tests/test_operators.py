@@ -1,11 +1,12 @@
 """Skew-safe building blocks against brute force."""
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerscope.operators.cumulative import running_totals
-from ledgerscope.operators.sequence import lag_within_group
+from ledgerscope.operators.sequence import hot_keys, lag_within_group
 
 
 def test_lag_within_group_hot_key_matches_window(spark):
@@ -25,6 +26,23 @@ def test_lag_within_group_hot_key_matches_window(spark):
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
 
+@pytest.mark.parametrize("kind", ["long", "double", "date", "timestamp"])
+def test_cuts_do_not_depend_on_the_deal_of_rows(spark, kind):
+    rng = np.random.default_rng(5)
+    t = rng.integers(0, 40_000, 20_000)
+    at = {"long": F.col("t"), "double": F.col("t") / 7 - 2000, "date": F.date_from_unix_date(F.col("t").cast("int")),
+          "timestamp": F.timestamp_seconds(F.col("t") * 3601)}[kind]
+    df = spark.createDataFrame(pd.DataFrame({"k": rng.integers(0, 3, len(t)), "t": t})).select("k", at.alias("o"))
+    deals = [df.repartition(1), df.repartition(7, "o"), df.orderBy(F.xxhash64("o")).repartition(3)]
+    cuts = [sorted(tuple(map(str, r)) for r in hot_keys(d, "k", "o", 500).collect()) for d in deals]
+    assert len(cuts[0]) == 3 and cuts[0] == cuts[1] == cuts[2]
+    with_id = df.withColumn("id", F.monotonically_increasing_id()).withColumn("v", F.col("id") * 2)
+    got = lag_within_group(with_id, "k", ["o", "id"], ["v"], 3, min_rows=500)
+    w = Window.partitionBy("k").orderBy("o", "id")
+    exp = with_id.select("k", "o", "id", "v", *[F.lag("v", j).over(w).alias(f"v_lag{j}") for j in range(1, 4)])
+    assert got.exceptAll(exp).count() == 0 and got.count() == len(t)
+
+
 def test_lag_ties_null_keys_and_no_jobs_before_the_action(spark):
     # a hot NULL key, ties and NULLs in the first order column, a piece of fewer than k rows
     rows = [(None if i % 3 else i % 7, None if i % 50 == 0 else i // 100, i, float(i)) for i in range(1200)]
