@@ -94,3 +94,36 @@ def test_300_trees_of_depth_8_over_10000_rows(spark):
     assert np.abs(got["base_value"] + phi.sum(1) - model.margin(x)).max() < 1e-9
     assert np.abs(got["margin"] - model.margin(x)).max() < 1e-9
     print(f"explained in {took:.1f} s")
+
+
+def test_tables_give_what_the_walk_gives(monkeypatch):
+    """Trees of the preset's depth over repeated features, missing values among the rows; a path too
+    long for a cell is walked, as are trees beyond the memory for tables."""
+    from ledgerscope.operators import treeshap
+    rng = np.random.default_rng(8)
+    model = TreeEnsemble([grown(rng, d, 6, full=d == 5) for d in (5, 5, 0, 3, 6, 11)], -0.2)
+    x = rng.normal(size=(300, 6))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    got = Explainer(model, 6)
+    phi, margin = got.explain(x)
+    assert len(got.tables.cells) > 8 and len(got.walked) == 1
+    monkeypatch.setattr(treeshap, "TABLE_BYTES", 0)
+    walk = Explainer(model, 6)
+    phi2, margin2 = walk.explain(x)
+    assert len(walk.walked) == 5
+    assert np.allclose(phi, phi2, atol=1e-12) and np.allclose(margin, margin2, atol=1e-12)
+
+
+def test_rows_of_the_preset_are_explained_by_look_ups():
+    """300 trees of depth 5: the walk took over 1 ms a row."""
+    rng = np.random.default_rng(9)
+    grid = np.round(rng.normal(size=(31, 63)), 3)
+    model = TreeEnsemble([grown(rng, 5, 31, full=True) for _ in range(300)])
+    for t in model.trees:                         # thresholds are cuts of 64 bins
+        t.threshold[:] = grid[t.feature, rng.integers(63, size=len(t.feature))]
+    got, x = Explainer(model, 31), rng.normal(size=(10_000, 31))
+    got.explain(x[:10])
+    begun = time.process_time()
+    phi, margin = got.explain(x)
+    assert time.process_time() - begun < 3
+    assert np.allclose(got.base + phi.sum(1), margin, atol=1e-9)
