@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ from ledgerscope.operators.attribution import LinearScorer, linear_attributions,
 from ledgerscope.operators.models import ModelBundle, logistic_as_columns
 from ledgerscope.operators.scoring import build_score_output, featurize
 from ledgerscope.operators.trees import TreeEnsemble
-from ledgerscope.operators.treeshap import Explainer, ensemble
+from ledgerscope.operators.treeshap import Explainer, ensemble, matrix
 from ledgerscope.schema import TOP_DRIVERS
 
 DRIVER = "array<struct<feature:string,shap_value:double,feature_value:double,direction:string>>"
@@ -44,18 +44,24 @@ def _tree_pass(df: DataFrame, exp: Explainer, features: list[str], n: int) -> Da
     """df with p_raw and drivers (unrounded), largest attribution first, ties in feature order."""
     schema = T.StructType([*df.schema.fields, T.StructField("p_raw", T.DoubleType()),
                            T.StructField("drivers", T._parse_datatype_string(DRIVER))])
+    held, n = df.sparkSession.sparkContext.broadcast(exp), min(n, len(features))
+    wide = [F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            x = pdf[features].to_numpy(dtype=float)
-            phi, margin = exp.explain(x)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, directions = pa.array(features, pa.string()), pa.array(["decreases_risk", "increases_risk"])
+        for batch in batches:
+            x = matrix(batch, [f"_x{i}" for i in range(len(features))])
+            phi, margin = held.value.explain(x)
             first = np.argsort(-np.abs(phi), axis=1, kind="stable")[:, :n]
             rows = np.arange(len(x))[:, None]
-            drivers = [[{"feature": features[j], "shap_value": v, "feature_value": None if np.isnan(u) else u,
-                         "direction": "increases_risk" if v > 0 else "decreases_risk"} for j, v, u in zip(*row, strict=True)]
-                       for row in zip(first.tolist(), phi[rows, first].tolist(), x[rows, first].tolist(), strict=True)]
-            yield pdf.assign(p_raw=1.0 / (1.0 + np.exp(-margin)), drivers=drivers)
-    return df.mapInPandas(run, schema)
+            value, of = phi[rows, first].ravel(), x[rows, first].ravel()
+            item = pa.StructArray.from_arrays(
+                [names.take(pa.array(first.ravel())), pa.array(value), pa.array(of, mask=np.isnan(of)),
+                 directions.take(pa.array((value > 0).astype(np.int64)))], names=["feature", "shap_value", "feature_value", "direction"])
+            drivers = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * n, pa.int32()), item)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(schema) - 2], pa.array(1.0 / (1.0 + np.exp(-margin))), drivers],
+                                             names=schema.names)
+    return df.select("*", *wide).mapInArrow(run, schema)
 
 
 def score_with_drivers(df_raw: DataFrame, bundle: ModelBundle, n: int = TOP_DRIVERS, prefix: str = "__raw_") -> DataFrame:
