@@ -10,14 +10,14 @@ gradient and hessian histograms of all nodes of a level. Missing values go right
 Scale: rows are packed once into blocks of binned columns (one byte a value), written to the
 shared folder and kept by the executors; the margin of a block is brought up to date every
 ``REFRESH`` trees from the trees themselves, so no lineage grows and a lost executor costs
-one block's recomputation. A pass sends nodes x features x bins sums per task, added in a
-tree of tasks when there are many; the driver sees that one histogram, whatever the rows.
+one block's recomputation. A pass deals its sums by column to a few tasks, which add them up in
+the order of the blocks' partitions and find the best cut of each node and column; only that
+cut goes to the driver, which compares nodes x columns of them, whatever the rows.
 Row and column draws are fixed by the seed, the tree and the block.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,7 +34,7 @@ from ledgerscope.session import checkpoint_dir
 BINS = 64                 # at most 255: a bin is a byte, the last bin is for missing values
 BLOCK_ROWS = 16_384
 REFRESH = 10
-DIRECT = 16               # partitions whose histograms the driver adds itself
+DIRECT = 4                # partitions whose sums one task of the second stage adds up
 
 
 @dataclass
@@ -154,9 +154,9 @@ def leaf_value(g: float, h: float, p: BoosterParams) -> float:
     return float(-p.learning_rate * soft(np.array(g), p.reg_alpha) / (h + p.reg_lambda)) if h + p.reg_lambda > 0 else 0.0
 
 
-def best_splits(hist: np.ndarray, sizes: np.ndarray, p: BoosterParams) -> list[tuple | None]:
-    """For each node (gain, column, bin, left sums, right sums), or None; ties go to the first
-    column and bin. ``sizes``: number of cuts of each column."""
+def best_cuts(hist: np.ndarray, sizes: np.ndarray, p: BoosterParams) -> tuple[np.ndarray, ...]:
+    """For each node and column gain, bin, left sums and right sums of the best cut; ties go to
+    the first bin. ``sizes``: number of cuts of each column."""
     left = hist.cumsum(2)
     total = left[:, :, -1:, :]
     right = total - left
@@ -167,14 +167,23 @@ def best_splits(hist: np.ndarray, sizes: np.ndarray, p: BoosterParams) -> list[t
     ok = (left[..., 1] >= p.min_child_weight) & (right[..., 1] >= p.min_child_weight)
     ok &= np.arange(hist.shape[2]) < sizes[:, None]
     gain = np.where(ok, gain, -np.inf)
-    out = []
-    for n in range(len(hist)):
-        # rounded, so that equal gains of different order of summation stay ties
-        flat = np.round(gain[n], 9).ravel() if np.isfinite(gain[n]).any() else gain[n].ravel()
-        k = int(flat.argmax())
-        col, b = divmod(k, hist.shape[2])
-        out.append((float(gain[n, col, b]), col, b, left[n, col, b], right[n, col, b]) if gain[n, col, b] > 1e-9 else None)
-    return out
+    # rounded, so that equal gains of different order of summation stay ties
+    cut = np.round(gain, 9).argmax(2)
+    n, c = np.indices(cut.shape)
+    return gain[n, c, cut], cut, left[n, c, cut], right[n, c, cut]
+
+
+def chosen(gain: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple | None]:
+    """For each node (gain, column, bin, left sums, right sums), or None; ties go to the first column."""
+    best = np.round(gain, 9).argmax(1)
+    return [(float(gain[n, c]), int(c), int(cut[n, c]), left[n, c], right[n, c]) if gain[n, c] > 1e-9 else None
+            for n, c in enumerate(best)]
+
+
+def best_splits(hist: np.ndarray, sizes: np.ndarray, p: BoosterParams) -> list[tuple | None]:
+    """For each node (gain, column, bin, left sums, right sums), or None; ties go to the first
+    column and bin. ``sizes``: number of cuts of each column."""
+    return chosen(*best_cuts(hist, sizes, p))
 
 
 def fit_booster(train: DataFrame, features: list[str], label: str, weight: str | None = None,
@@ -221,24 +230,31 @@ def grow(state, parts: int, recent: list[dict], columns: np.ndarray, cuts: list[
         frozen = {k: list(v) if isinstance(v, list) else v for k, v in tree.items()}
         now = list(nodes)
 
-        def part(rows, recent=recent, tree=frozen, now=now):
+        def part(index, rows, recent=recent, tree=frozen, now=now):
             total = None
             for block in rows:
                 h = histogram(block, recent, tree, now, columns, width, p.seed, turn, p.subsample)
                 total = h if total is None else total + h
-            return [] if total is None else [total]
-        sums = state.mapPartitions(part)
-        if parts <= DIRECT:
-            got = sums.collect()
-        else:
-            got = [sums.treeReduce(lambda a, b: a + b, depth=max(2, math.ceil(math.log(parts, DIRECT))))]
+            return [] if total is None else ((k, (index, total[:, k:k + 1])) for k in range(len(columns)))
+
+        def merged(rows):
+            of: dict[int, list] = {}
+            for k, h in rows:
+                of.setdefault(k, []).append(h)
+            for k, sums in of.items():
+                sums = [h for _, h in sorted(sums, key=lambda x: x[0])]
+                hist = sum(sums[1:], sums[0])
+                yield k, hist[0, 0].sum(0), best_cuts(hist, sizes[k:k + 1], p)
+        sums = state.mapPartitionsWithIndex(part)
+        if parts > 1:
+            sums = sums.partitionBy(min(len(columns), -(-parts // DIRECT)), int)
+        got = sorted(sums.mapPartitions(merged).collect(), key=lambda x: x[0])
         if not got:
             break
-        hist = sum(got[1:], got[0])
         if level == 0:
-            g, h = hist[0, 0].sum(0)
+            g, h = got[0][1]
             tree["value"][0], tree["cover"][0] = leaf_value(g, h, p), float(h)
-        split = best_splits(hist, sizes, p)
+        split = chosen(*(np.concatenate(x, 1) for x in zip(*(c for _, _, c in got), strict=True)))
         below = []
         for node, s in zip(nodes, split, strict=True):
             if s is None:

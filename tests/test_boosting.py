@@ -103,3 +103,24 @@ def test_rows_without_label_and_empty(spark):
     df, names = frame(spark, x, y, w)
     none = df.where("1 = 0")
     assert B.fit_booster(none, names, "y", "w", B.BoosterParams(2)).ensemble.margin(x).tolist() == [0.0] * 50
+
+
+def test_driver_gets_cuts_not_histograms(spark, monkeypatch):
+    import pickle
+
+    from pyspark import RDD
+    x, y, w = data(n=600)
+    df, names = frame(spark, x, y, w)
+    df = df.repartition(6).persist()
+    sent, collect = [], RDD.collect
+
+    def seen(self):
+        got = collect(self)
+        sent.append(len(pickle.dumps(got)))
+        return got
+    monkeypatch.setattr(RDD, "collect", seen)
+    p = B.BoosterParams(2, 3, 0.3, 1.0, 1.0)
+    many = B.fit_booster(df, names, "y", "w", p).ensemble
+    assert sent and max(sent) < 4 * len(names) * 16 * 8        # of a level's four nodes and each column a few numbers
+    one = B.fit_booster(df.coalesce(1), names, "y", "w", p).ensemble
+    assert np.allclose(many.margin(x), one.margin(x), atol=1e-9)
