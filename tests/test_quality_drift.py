@@ -155,3 +155,34 @@ def test_exact_ks_by_size(spark):
     s = [np.array([v for f, v, t in rows if f == "small" and t == side]) for side in (0, 1)]
     assert got["small"].ks_statistic == pytest.approx(_ks_brute(*s))
     assert got["small"].ks_p_value == pytest.approx(D.lattice_pvalue(round(_ks_brute(*s) * 99), 9, 11))
+
+
+def test_report_reads_the_table_for_one_set_of_counts_and_the_duplicates(raw_df, tmp_path):
+    raw_df.drop("ID").union(raw_df.drop("ID").limit(3)).write.parquet(str(tmp_path / "t"))
+    df = raw_df.sparkSession.read.parquet(str(tmp_path / "t"))
+    rep = Q.validation_report(df)
+    assert rep._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 3
+    dup = [r for r in rep.collect() if r.check_name == "duplicates"]
+    assert [(r.severity, r.n_bad) for r in dup] == [("warning", 3)]
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_duplicates_with_equal_hashes_are_compared(spark, monkeypatch, most):
+    """xxhash64 leaves NULLs out, so (1, NULL) and (NULL, 1) have one hash; 0.0 equals -0.0 and NaN NaN."""
+    monkeypatch.setattr(Q, "BROADCAST_HASHES", most)
+    n = float("nan")
+    df = spark.createDataFrame([(1.0, None), (None, 1.0), (None, 1.0), (0.0, 2.0), (-0.0, 2.0), (n, n), (n, n), (5.0, 6.0)], "a double, b double")
+    r = Q.check_duplicates(df).first()
+    assert (r.n_rows, r.n_distinct, r.n_duplicates) == (8, 5, 3)
+    r = Q.check_duplicates(df.where("a > 9 and b < 0")).first()
+    assert (r.n_rows, r.n_distinct, r.n_duplicates) == (0, 0, 0)
+    assert spark.range(1).count() == 1
+
+
+def test_drift_report_unpivots_once(spark, tmp_path):
+    for side, at in (("r", 0), ("c", 3)):
+        spark.createDataFrame([(float(i % 7 + at), float(i)) for i in range(60)], "a double, b double").write.parquet(str(tmp_path / side))
+    ref, cur = (spark.read.parquet(str(tmp_path / k)) for k in ("r", "c"))
+    rep = D.drift_report(ref, cur, ["a", "b"])
+    assert "Expand" not in rep._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.feature: r.drifted for r in rep.collect()} == {"a": True, "b": False}
