@@ -15,14 +15,18 @@ is taken only if the positions of the key still allow the needed overlap.
 
 No group emits all its pairs. Exact copies are one node. First every member of a list is
 compared with one leader of the list, then, in further rounds, with the leader of a small
-random part of it; each round looks only at pairs from different components of the links
-found so far. After that the pairs from different components that still share a key are
-verified. All pairs are first held against parity bitmaps, which drop only those that
+random part of it, then, in long lists, with the member that has the fewest rarer tokens;
+each round looks only at pairs from different components of the links found so far. After
+that the pairs from different components that still share a key are verified: of short
+lists all, which is a bounded number for each member; of long ones those between the list's
+largest component and the rest or inside the rest, and the join makes rows only of pairs
+whose parity bitmaps allow a link. All pairs are held against such bitmaps, which drop only those that
 differ in more bits than two linked sets can differ in tokens; so no link between components is lost. Only components
 are reported, so pairs inside one need no check.
 
 Skew: keys of frequent tokens are salted by document; lists are reduced per key with
-map-side minima; AQE splits the joins that carry rows to leaders. The table of frequent
+map-side minima; AQE splits the joins that carry rows to leaders, and the members of a long
+list are dealt into pieces for the last round. The table of frequent
 tokens has at most 2**20 entries (each has at least that share of all tokens).
 
 Results: one row per row of the table. Null and wordless texts have the empty set and are
@@ -53,6 +57,9 @@ COUNT_TOKENS = 2 << 20          # tokens counted together in a task before they
 SALTS = 64
 PIECE = 100_000                 # postings of one list stored together
 BITS = 256                      # of a set's parity bitmap at least
+LONG = 32                       # lists with more members make rows only of pairs whose bitmaps allow a link
+SKETCH = 16                     # 64-bit words of the bitmaps carried into that join
+DEALT = 2000                    # members of a long list that meet the others together
 BEFORE = 8                      # keys before a posting by which a later meeting of a pair is left out
 BROADCAST_IDS = 500_000         # ids (8 bytes each) that may be broadcast
 
@@ -149,6 +156,19 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ keys
+def sketches(docs: DataFrame) -> DataFrame:
+    """(node, w0, w1, ...): a parity bitmap of SKETCH words for each (node, text)."""
+    names = [f"w{i}" for i in range(SKETCH)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets, _ in X.blocks(batch.column(1)):
+                w = np.stack([parity(s, 64 * SKETCH).view(np.int64) for s in shingle_sets(data, offsets)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *map(pa.array, w.T.copy())], names=["node", *names])
+        pa.default_memory_pool().release_unused()
+    return docs.mapInArrow(run, "node long, " + ", ".join(f"{x} long" for x in names))
+
+
 def least_overlap(n: int) -> int:
     return -(-NUM * n // DEN)
 
@@ -312,17 +332,62 @@ def merged(comp: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFr
     return moved.union(more.join(comp, "node", "left_anti").select("node", "component"))
 
 
+def needed(x: str, y: str) -> str:
+    """SQL of the tokens that linked sets of x.n and y.n share at least."""
+    return f"(({NUM} * ({x}.n + {y}.n) + {NUM + DEN - 1}) div {NUM + DEN})"
+
+
 def allowed(bound: int):
     """May the pair of postings x and y (columns tag, n) still have the overlap it needs,
     if this key is the first that both have?"""
     def cond(x: str, y: str):
-        need = F.expr(f"({NUM} * ({x}.n + {y}.n) + {NUM + DEN - 1}) div {NUM + DEN}")
+        need = F.expr(needed(x, y))
         return (((F.col(f"{x}.tag") % 2 == 1) | (F.greatest(f"{x}.n", f"{y}.n") > bound))
                 & (F.expr(f"{x}.tag div 2") <= F.col(f"{x}.n") - need)
                 & (F.expr(f"{y}.tag div 2") <= F.col(f"{y}.n") - need))
     return cond
 
 
+def led(cur: DataFrame, order, ok) -> DataFrame:
+    """(a, b): in every part of a list with members of several components, the leader (least
+    by ``order``) and each member of another component that it may link with."""
+    cur = cur.withColumn("o", order).select("key", "part", "o", "node", "tag", "n", "comp")
+    lead = (cur.groupBy("key", "part").agg(F.min(F.struct("o", "node", "tag", "n", "comp")).alias("m"),
+                                           F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .filter("lo <> hi").select("key", "part", "m.node", "m.tag", "m.n", "m.comp"))
+    found = cur.alias("y").join(lead.alias("x"), ["key", "part"]).filter(F.expr("x.comp <> y.comp") & ok("x", "y"))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def short_pairs(cur: DataFrame, ok) -> DataFrame:
+    """(a, b): all pairs of different components that a short list brings together."""
+    cur = cur.filter(f"c <= {LONG}")
+    found = (cur.alias("x").join(cur.alias("y"), "key")
+             .filter(F.expr("x.node < y.node and x.comp <> y.comp and not arrays_overlap(x.before, y.before)") & ok("x", "y")))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def long_pairs(cur: DataFrame, texts: DataFrame, scratch: Scratch, ok) -> DataFrame:
+    """(a, b): the pairs of different components that a long list brings together and whose
+    bitmaps allow a link. Members of a list's largest component meet only the others."""
+    cur = cur.filter(f"c > {LONG}")
+    nodes = scratch.save(cur.select("node").distinct())
+    words = scratch.save(sketches(chosen(texts, nodes, "node")))
+    counts = cur.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    most = counts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("most")).select("key", F.col("most.comp").alias("most"))
+    whole = scratch.save(cur.join(most, "key").join(words, "node"))
+    scratch.drop(nodes, words)
+    pieces = F.expr(f"c div {DEALT}")
+    x = whole.filter("comp <> most").withColumn("piece", F.pmod(F.xxhash64("node"), 1 + pieces))
+    y = whole.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces)))
+    differ = " + ".join(f"bit_count(x.w{i} ^ y.w{i})" for i in range(SKETCH))
+    found = x.alias("x").join(y.alias("y"), F.expr("x.key = y.key and x.piece = y.piece and x.comp <> y.comp and (y.comp = y.most or x.node < y.node)")
+                              & ok("x", "y") & F.expr(f"{differ} <= x.n + y.n - 2 * {needed('x', 'y')} and not arrays_overlap(x.before, y.before)"))
+    found = scratch.save(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    scratch.drop(whole)
+    return found
+
+
 def near_rows(rows: DataFrame, id_col: str = "row", text_col: str = "text", part: int = 8,
               tries: int = 2, bound: int | None = None) -> DataFrame:
     """Per row of a stored table, whose ids are unique and not null: id, n_shingles,
@@ -358,37 +423,33 @@ def near_rows(rows: DataFrame, id_col: str = "row", text_col: str = "text", part
     texts = src.withColumnRenamed("id", "node")
     ok = allowed(bound)
     comp = None
-    for step, (size, tries) in enumerate([(None, 1), (part, 1), (part, tries), (0, 0)]):
+    for step, size in enumerate([0, part, part, LONG, None]):
         if comp is None:
             cur = posts.withColumn("comp", F.col("node"))
         else:
             cur = posts.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        if tries:
-            cur = cur.withColumn("part", F.lit(0).cast("long"))
-            if size:   # members of longer lists in parts of about `size`, dealt by key and node, `tries` times
-                deal = F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))
-                n_parts = F.expr(f"(c + {size - 1}) div {size}")
-                cur = (cur.filter(f"c > {size}").withColumn("t", deal)
-                       .withColumn("part", F.pmod(F.xxhash64("key", "node", "t", F.lit(step)), n_parts) * tries + F.col("t")))
-            cur = cur.select("key", "part", "node", "tag", "n", "comp")
-            lead = (cur.groupBy("key", "part").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("o"), "node", "tag", "n", "comp")).alias("m"),
-                                                   F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                    .filter("lo <> hi").select("key", "part", "m.node", "m.tag", "m.n", "m.comp"))
-            found = cur.alias("y").join(lead.alias("x"), ["key", "part"]).filter(F.expr("x.comp <> y.comp") & ok("x", "y"))
-        else:          # the rest: all pairs of different components that a key still brings together
-            cur = cur.select("key", "node", "tag", "n", "comp")
+        if size is None:   # the rest: all pairs of different components that a key still brings together
             open_keys = cur.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
             # a pair is met at its first common key: later ones see that key among those before
             before = W.partitionBy("node", F.expr("tag % 2")).orderBy("tag", "key").rowsBetween(-BEFORE, -1)
-            cur = scratch.save(cur.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(before)))
-            found = (cur.alias("x").join(cur.alias("y"), "key")
-                     .filter(F.expr("x.node < y.node and x.comp <> y.comp and not arrays_overlap(x.before, y.before)") & ok("x", "y")))
-        pairs = scratch.save(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+            rest = scratch.save(cur.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(before)))
+            found = short_pairs(rest, ok).union(long_pairs(rest, texts, scratch, ok))
+        elif step == 3:    # in a long list the leader with the fewest tokens rarer than the key is most like all others
+            found = led(cur.filter(f"c > {size}").withColumn("part", F.lit(0)), F.struct(F.expr("tag div 2"), F.xxhash64("node")), ok)
+        else:
+            cur = cur.withColumn("part", F.lit(0).cast("long"))
+            if size:   # members of longer lists in parts of about `size`, dealt by key and node, `tries` times
+                deals = tries if step == 2 else 1
+                n_parts = F.expr(f"(c + {size - 1}) div {size}")
+                cur = (cur.filter(f"c > {size}").withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+                       .withColumn("part", F.pmod(F.xxhash64("key", "node", "t", F.lit(step)), n_parts) * deals + F.col("t")))
+            found = led(cur, F.xxhash64("node", F.lit(step)), ok)
+        pairs = scratch.save(found.distinct())
         left = scratch.save(possible(pairs, wide, scratch))
         links = scratch.save(verified(left, texts, scratch))
-        comp = scratch.save(merged(comp, links, scratch))
-        scratch.drop(pairs, left, links)
-    scratch.drop(posts, cur)
+        old, comp = comp, scratch.save(merged(comp, links, scratch))
+        scratch.drop(pairs, left, links, *([old] if old is not None else []))
+    scratch.drop(posts, rest)
     linked = members.join(comp, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 

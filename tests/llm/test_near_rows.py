@@ -53,3 +53,40 @@ def test_chains_equal_brute_force(spark, bound, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_groups(docs, bound=bound).collect()}
     assert got == {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_pairs_of_a_group_of_near_copies(spark, monkeypatch):
+    """Versions of one text, half of which link with none: pairs grow with the documents only."""
+    monkeypatch.setattr(jaccard_join, "DEALT", 50, raising=False)
+    base, texts = prose(70, 150).split(" "), []
+    rng = np.random.default_rng(71)
+    for k in range(240):
+        w = list(base)
+        where = np.arange(76, 146, 6) if k % 2 else np.arange(4, 74, 6)
+        for at in rng.choice(where, 2 if k % 2 else 4, replace=False).tolist():
+            w[at] = f"d{k}w{at}"
+        texts.append(" ".join(w))
+    sets = [frozenset(tuple(t.split(" ")[k:k + 5]) for k in range(146)) for t in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    seen, possible = [], jaccard_join.possible
+
+    def counted(pairs, wide, scratch):
+        seen.append(pairs.count())
+        return possible(pairs, wide, scratch)
+    monkeypatch.setattr(jaccard_join, "possible", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_groups(docs).collect()}
+    assert got == dict(enumerate(root))
+    assert len(set(root)) > 60
+    assert sum(seen) <= 12 * len(texts), seen
+
+
+def test_long_lists_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG", 3)
+    monkeypatch.setattr(jaccard_join, "DEALT", 4)
+    test_chains_equal_brute_force(spark, None, monkeypatch)
