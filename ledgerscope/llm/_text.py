@@ -6,6 +6,7 @@ are found and hashed with a handful of NumPy passes; there is no per-word Python
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,6 +142,15 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.full(1, n, np.uint64) * STEP[62])
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the system: workers outlive their stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):    # another C library than glibc
+        pass
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return h.view(np.int64)

@@ -94,6 +94,7 @@ def fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(ids[i:j][row]), pa.array(X.signed(g)), pa.array((pos - first[row]).astype(np.int32)),
                              pa.array(np.full(len(row), n, np.int32))], names=["id", "h", "p", "n"])
+        X.release()
     return rows.mapInArrow(run, "id long, h long, p int, n int")
 
 
@@ -115,6 +116,7 @@ def item_windows(items: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(ids[i:j][row]), pa.array(own[i:j][row]), pa.array(X.signed(g)), pa.array(np.full(len(row), n, np.int32)),
                              pa.array(_spell(data, start, end, pos, n), pa.binary())], names=["item", "own", "key", "n", "spelled"])
+        X.release()
     return items.mapInArrow(run, "item long, own boolean, key long, n int, spelled binary").distinct()
 
 
@@ -148,6 +150,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
                              pa.array(np.full(k, n_words)), pa.array(at.astype(np.int32)),
                              pa.array(np.full(k, n, np.int32)), pa.array(X.signed(g)),
                              pa.array(_spell(data, start, end, at + lo, n), pa.binary())], names=OUT)
+        X.release()
     return docs.mapInArrow(run, "rid long, doc long, n_words long, at int, n int, key long, spelled binary")
 
 

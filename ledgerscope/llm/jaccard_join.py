@@ -151,7 +151,7 @@ def profile(docs: DataFrame) -> DataFrame:
                     yield repeated(held)
                     held, count = [], 0
         yield repeated(held)
-        pa.default_memory_pool().release_unused()
+        X.release()
     return docs.mapInArrow(run, "kind int, id long, n long, s1 long, s2 long, wide binary")
 
 
@@ -165,7 +165,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             for i, j, data, offsets, _ in X.blocks(batch.column(1)):
                 w = np.stack([parity(s, 64 * SKETCH).view(np.int64) for s in shingle_sets(data, offsets)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *map(pa.array, w.T.copy())], names=["node", *names])
-        pa.default_memory_pool().release_unused()
+        X.release()
     return docs.mapInArrow(run, "node long, " + ", ".join(f"{x} long" for x in names))
 
 
@@ -229,6 +229,7 @@ def keys(docs: DataFrame, frequent, bound: int) -> DataFrame:
                         [pa.array(X.signed(np.concatenate(out_key))), pa.array(np.repeat(ids[i:i + len(out_n)], out_n)),
                          pa.array(np.repeat(np.array(size, np.int64) << 32, out_n) + np.concatenate(out_tag)),
                          pa.array(np.concatenate(out_salt).astype(np.int32))], names=["key", "id", "at", "salt"])
+        X.release()
     return docs.mapInArrow(run, "key long, id long, at long, salt int")
 
 
@@ -290,6 +291,8 @@ def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, h in zip(a, hit, strict=True) if h], pa.int64()),
                      pa.array([y for y, h in zip(b, hit, strict=True) if h], pa.int64())], names=["a", "b"])
+        kept.clear()
+        X.release()
     # b are the many members of lists, a their few leaders: each member's text moves twice
     both = (pairs.join(rows_of(texts, pairs, "b", scratch).withColumnRenamed("text", "text_b"), "b")
             .join(rows_of(texts, pairs, "a", scratch).withColumnRenamed("text", "text_a"), "a"))

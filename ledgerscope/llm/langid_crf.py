@@ -279,7 +279,7 @@ def predict(docs: DataFrame, blob: bytes | None, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), pa.array(size),
                      pa.array(runs, RUNS)], names=["id", "lang_pred", "score", "n_words", "runs"])
-        pa.default_memory_pool().release_unused()
+        X.release()
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "id long, lang_pred string, score double, n_words long, "
                                "runs array<struct<lang:string,first:long,n:long>>").withColumnRenamed("id", id_col)
@@ -298,7 +298,7 @@ def accepted(docs: DataFrame, blob: bytes | None, least: float, text_col: str =
             for i, j, pred, score, _, _ in labelled(lab, batch.column(0), False):
                 part = batch.slice(i, j - i)
                 yield part.filter(pa.array([x != UND and y >= least for x, y in zip(pred, score.tolist(), strict=True)], pa.bool_()))
-        pa.default_memory_pool().release_unused()
+        X.release()
     rest = [c for c in docs.columns if c != text_col]
     src = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*rest).alias("rest"))
     got = src.mapInArrow(run, f"text string, rest {src.schema['rest'].dataType.simpleString()}")

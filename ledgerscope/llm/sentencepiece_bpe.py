@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerscope.llm import _text as X
 from ledgerscope.llm._shared import ship
 
 MARK = "▁"
@@ -300,7 +301,7 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hid, pa.string()), pa.array(hdec, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
         m.store.clear()                      # the worker lives on and other tasks need the memory
-        pa.default_memory_pool().release_unused()
+        X.release()
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return src.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string") \

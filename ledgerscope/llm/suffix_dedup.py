@@ -96,6 +96,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     [pa.array(X.signed(a)), pa.array(X.signed(span)), pa.array(ids[i:j][row]),
                      pa.array((lo - offsets[row]).astype(np.int64)), pa.array((hi - lo).astype(np.int32))],
                     names=["anchor", "span", "id", "lo", "more"])
+        X.release()
     return docs.mapInArrow(run, "anchor long, span long, id long, lo long, more int")
 
 
@@ -357,6 +358,7 @@ def cut_out(docs: DataFrame, kinds: DataFrame) -> DataFrame:
                      pa.array([w["lo"] for w in want], pa.int64()), pa.array([w["more"] for w in want], pa.int32()),
                      pa.array([raw[w["lo"]:w["lo"] + w["more"] + LENGTH] for w in want], pa.binary())],
                     names=["anchor", "id", "lo", "more", "bytes"])
+        X.release()
     lists = kinds.groupBy("rep.id").agg(F.collect_list(F.struct("anchor", "rep.lo", "rep.more", "c")).alias("want"))
     return docs.join(lists, "id").select("id", "text", "want").mapInArrow(
         run, "anchor long, id long, lo long, more int, bytes binary")
@@ -396,6 +398,7 @@ def sort_shards(cuts: DataFrame, run_bytes: int = RUN, budget: int = QUEUE_BYTES
                 size += len(row[4]) + 1
         if held[0]:
             yield one(*held)
+        X.release()
     return cuts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "id long, lo long, hi long")
 
 
@@ -411,6 +414,7 @@ def count_windows(cuts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()), pa.array([k] * (m + 1), pa.int64()),
                      pa.array(np.arange(lo, lo + m + 1))], names=["w1", "w2", "id", "lo"])
+        X.release()
     w = cuts.mapInArrow(run, "w1 long, w2 long, id long, lo long")
     again = w.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1")
     return w.filter("id is not null").join(again, ["w1", "w2"]).select("id", "lo", (F.col("lo") + LENGTH).alias("hi"))
@@ -482,6 +486,7 @@ def digest(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([o[c] for o in out], pa.int64()) for c in range(3)],
                  pa.array([o[3] for o in out], pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        X.release()
     doc = F.col("doc")
     both = spans.select(doc.getField(id_col).cast("long").alias("id"), doc.getField(text_col).cast("string").alias("text"), "spans")
     got = both.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -501,6 +506,7 @@ def without_repeats(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", t
                     text = cut_text(raw, merged(found, len(raw))).decode("utf-8", "ignore")
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(2)], names=["text", "rest"])
+        X.release()
     rest = [c for c in docs.columns if c != text_col]
     doc = F.col("doc")
     both = spans.select(doc.getField(text_col).cast("string").alias("text"), "spans",
