@@ -1,0 +1,107 @@
+"""Quantiles of many columns in one pass.
+
+Every task sorts its values by column, a chunk of rows at a time, and keeps of a chunk with many
+different values ``KEEP`` of them at even ranks, each with the number of values it stands for; of
+others it keeps all with their counts. What is kept is merged by column in a second stage. So a
+quantile is exact while chunks have few different values, and its rank is off by at most the
+share 1 / ``KEEP`` of the rows for each time that values were thinned out: once in a chunk, and once
+more for every ``MERGE`` values kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+KEEP = 12_800
+CHUNK_ROWS = 100_000
+MERGE = 64 * KEEP
+Sketch = tuple[np.ndarray, np.ndarray]        # values in order, and how many rows each stands for
+
+
+def thinned(values: np.ndarray, counts: np.ndarray, keep: int | None = None) -> Sketch:
+    keep = keep or KEEP
+    if len(values) <= keep:
+        return values, counts
+    upto = counts.cumsum()
+    # the last value is kept, so the greatest one stays known
+    at = np.unique(np.searchsorted(upto, np.ceil(upto[-1] * (np.arange(1, keep + 1) / keep))).clip(max=len(values) - 1))
+    return values[at], np.diff(upto[at], prepend=0)
+
+
+def merged(parts: list[Sketch]) -> Sketch:
+    if not parts:
+        return np.zeros(0), np.zeros(0, np.int64)
+    values, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+    return values, np.bincount(at, np.concatenate([c for _, c in parts]), len(values)).astype(np.int64)
+
+
+class Merger:
+    """Merges sketches as they come; thins out when too many values are held."""
+
+    def __init__(self):
+        self.parts: list[Sketch] = []
+        self.held = 0
+
+    def add(self, part: Sketch) -> None:
+        self.parts.append(part)
+        self.held += len(part[0])
+        if self.held > MERGE:
+            self.parts = [thinned(*merged(self.parts))]
+            self.held = len(self.parts[0][0])
+
+    def result(self) -> Sketch:
+        return merged(self.parts)
+
+
+def at_shares(sketch: Sketch, shares: list[float]) -> np.ndarray:
+    """The values at rank ceil(share * rows)."""
+    values, counts = sketch
+    if not len(values):
+        return np.zeros(0)
+    upto = counts.cumsum()
+    return values[np.searchsorted(upto, np.ceil(np.array(shares) * upto[-1])).clip(max=len(values) - 1)]
+
+
+def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> list[tuple[np.ndarray, float]]:
+    """For every column the different values at the shares, in order, and the greatest value (none,
+    and NaN, without a value). Nulls do not count; NaN counts as greater than all numbers, as in Spark."""
+    if not columns:
+        return []
+    wide = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [Merger() for _ in columns]
+
+        def flush(chunk: list[pa.RecordBatch]) -> None:
+            for i, m in enumerate(found):
+                values, counts = np.unique(np.concatenate([b.column(i).drop_null().to_numpy(zero_copy_only=False) for b in chunk]), return_counts=True)
+                m.add(thinned(values, counts))
+        chunk: list[pa.RecordBatch] = []
+        for batch in batches:
+            chunk.append(batch)
+            if sum(b.num_rows for b in chunk) >= CHUNK_ROWS:
+                flush(chunk)
+                chunk = []
+        if chunk:
+            flush(chunk)
+        for i, m in enumerate(found):
+            values, counts = m.result()
+            yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "v": pa.array([values.tobytes()], pa.binary()),
+                                              "n": pa.array([counts.astype(np.int64).tobytes()], pa.binary())})
+
+    def ends(rows: Iterator[tuple]) -> Iterator[tuple]:
+        of: dict[int, Merger] = {}
+        for i, (v, n) in rows:
+            of.setdefault(i, Merger()).add((np.frombuffer(v), np.frombuffer(n, np.int64)))
+        for i, m in of.items():
+            got = m.result()
+            yield i, np.unique(at_shares(got, shares)), float(got[0][-1]) if len(got[0]) else float("nan")
+    sketches = df.select(*wide).mapInArrow(run, "i int, v binary, n binary")
+    pairs = sketches.rdd.map(lambda r: (r["i"], (r["v"], r["n"]))).partitionBy(min(len(columns), 8), int)
+    by = {i: (v, top) for i, v, top in pairs.mapPartitions(ends).collect()}
+    return [by.get(i, (np.zeros(0), float("nan"))) for i in range(len(columns))]

@@ -124,3 +124,54 @@ def test_driver_gets_cuts_not_histograms(spark, monkeypatch):
     assert sent and max(sent) < 4 * len(names) * 16 * 8        # of a level's four nodes and each column a few numbers
     one = B.fit_booster(df.coalesce(1), names, "y", "w", p).ensemble
     assert np.allclose(many.margin(x), one.margin(x), atol=1e-9)
+
+
+def same_trees(a, b):
+    assert len(a.gains) == len(b.gains)
+    for s, t, g, h in zip(a.ensemble.trees, b.ensemble.trees, a.gains, b.gains, strict=True):
+        for k in ("left", "right", "feature", "threshold", "value", "cover"):
+            assert np.array_equal(getattr(s, k), getattr(t, k)), k
+        assert np.allclose(g, h, rtol=1e-12)
+
+
+def test_one_stage_grows_all_trees(spark, monkeypatch):
+    """A fit takes a few jobs, not one or more for each level of each tree, and grows the trees
+    that one job a level grows."""
+    from pyspark import RDD
+    x, y, w = data(n=900)
+    x = np.concatenate([x, x[:, 1:2].round(0), x[::-1]], 1)
+    df, names = frame(spark, x, y, w)
+    df, jobs, collect = df.repartition(5).persist(), [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: (jobs.append(1), collect(self))[1])
+    p = B.BoosterParams(12, 4, 0.3, 0.7, 0.7)
+    a = B.fit_booster(df, names, "y", "w", p)
+    assert len(jobs) < 6
+    monkeypatch.setattr(B, "RESIDENT_BYTES", 0)
+    b = B.fit_booster(df, names, "y", "w", p)
+    assert len(jobs) > 40
+    same_trees(a, b)
+
+
+def test_trees_do_not_depend_on_the_order_of_sums(spark, monkeypatch):
+    x, y, w = data(n=500)
+    df, names = frame(spark, x, y, w)
+    p = B.BoosterParams(5, 4, 0.3, 1.0, 1.0)
+    fits = [B.fit_booster(df.repartition(k).persist(), names, "y", "w", p) for k in (1, 7)]
+    same_trees(*fits)
+    monkeypatch.setattr(B, "JOINT", 1)
+    same_trees(fits[0], B.fit_booster(df, names, "y", "w", p))
+
+
+def test_no_column_with_a_cut_and_no_finite_weight(spark):
+    df, names = frame(spark, np.full((20, 2), np.nan), np.array([1, 0] * 10))
+    p = B.BoosterParams(2, 3, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0)
+    got = B.fit_booster(df, names, "y", "w", p).ensemble
+    assert [len(t.left) for t in got.trees] == [1, 1] and got.margin(np.zeros((1, 2)))[0] == 0.0
+    assert B.unit(float("inf")) == B.unit(float("nan")) == B.unit(0.0) == 0.0
+
+
+def test_joint_groups():
+    for widths, most in (([3, 66, 4, 66, 2], 300), ([66, 66], 66), ([500], 10), ([2] * 9, 16)):
+        got = B.joint(widths, most)
+        assert sorted(k for g in got for k in g) == list(range(len(widths)))
+        assert all(len(g) == 1 or np.prod([widths[k] for k in g]) <= most for g in got)

@@ -1,0 +1,44 @@
+"""Quantiles of many columns against sorted values and Spark's own."""
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerscope.operators import quantiles as Q
+
+SHARES = [i / 64 for i in range(1, 64)]
+
+
+def test_exact_as_spark_on_few_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(rng.normal()), float(rng.integers(0, 5)) if rng.random() < 0.8 else None, None, int(rng.integers(0, 300))) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int").repartition(5)
+    got = Q.quantiles(df, ["a", "b", "c", "d"], SHARES)
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), SHARES, 6400).alias(c) for c in "abcd"], *[F.max(c).alias(f"m{c}") for c in "abd"]).first()
+    for c, (v, top) in zip("abcd", got, strict=True):
+        assert v.tolist() == sorted(set(row[c] or []))
+        assert np.isnan(top) if c == "c" else top == row[f"m{c}"]
+    assert Q.quantiles(df.where("1 = 0"), ["a"], SHARES)[0][0].tolist() == []
+    assert Q.quantiles(df, [], SHARES) == []
+
+
+def test_nan_is_greater_than_all_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "a double")
+    v, top = Q.quantiles(df, ["a"], [0.5, 0.99])[0]
+    assert v[0] == 2.0 and np.isnan(v[1]) and np.isnan(top)
+
+
+def test_thinned_values_keep_ranks(spark, monkeypatch):
+    n = 60_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("a")).repartition(6)
+    monkeypatch.setattr(Q, "KEEP", 1000)
+    values, counts = Q.thinned(np.arange(n, dtype=float), np.ones(n, np.int64), 1000)
+    assert len(values) == 1000 and counts.sum() == n and values[-1] == n - 1
+    v, top = Q.quantiles(df, ["a"], SHARES)[0]
+    assert np.abs(v - np.array(SHARES) * n).max() <= 2 * n / 1000 and top == n - 1
+    m = Q.Merger()
+    monkeypatch.setattr(Q, "MERGE", 3000)
+    rng = np.random.default_rng(0)
+    for part in np.array_split(rng.permutation(n), 40):
+        m.add(Q.thinned(np.sort(part).astype(float), np.ones(len(part), np.int64), 500))
+    values, counts = m.result()
+    assert counts.sum() == n and len(values) <= 4000
+    assert np.abs(Q.at_shares((values, counts), SHARES) - np.array(SHARES) * n).max() <= 0.02 * n
