@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +24,7 @@ from ledgerscope.operators import isotonic
 from ledgerscope.operators.boosting import Booster, BoosterParams, fit_booster
 from ledgerscope.operators.prep import ScalerModel
 from ledgerscope.operators.trees import TreeEnsemble
+from ledgerscope.operators.treeshap import matrix
 from ledgerscope.schema import TARGET
 
 # ----------------------------------------------------------------------------------
@@ -118,10 +119,10 @@ def tree_probability(model: TreeEnsemble, df: DataFrame, features: list[str], ou
     """df with the probability of a tree ensemble, one pass over Arrow batches."""
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pdf.assign(**{out: model.probability(pdf[features].to_numpy(dtype=float))})
-    return df.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.probability(matrix(batch, features)))], names=schema.names)
+    return df.mapInArrow(run, schema)
 
 
 def raw_probability(model, df: DataFrame, features: list[str], out: str = "p_raw") -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ledgerscope.session import checkpoint_dir
 
+BLOCK_ROWS = 4_096        # rows that walk through all trees together
+
 
 @dataclass
 class Tree:
@@ -31,14 +33,21 @@ class Tree:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf that each row of x reaches."""
-        at = np.zeros(len(x), np.int64)
-        while True:
-            inner = np.flatnonzero(self.left[at] >= 0)
-            if not len(inner):
-                return at
-            node = at[inner]
-            low = x[inner, self.feature[node]] <= self.threshold[node]
-            at[inner] = np.where(low, self.left[node], self.right[node])
+        return self.reached(np.ascontiguousarray(x.T, dtype=float), np.arange(len(x)))
+
+    def reached(self, xt: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The leaves of the rows of xt (features, rows), whose numbers are ``rows``."""
+        inner = self.left >= 0
+        own = np.arange(len(self.left))
+        low, high = np.where(inner, self.left, own), np.where(inner, self.right, own)
+        start = np.where(inner, self.feature, 0) * xt.shape[1]
+        flat, at = xt.ravel(), np.zeros(xt.shape[1], np.intp)
+        sides = np.stack([high, low], 1).ravel()
+        # a row in a leaf stays there, whatever its values
+        for _ in range(self.depth()):
+            left = flat.take(start.take(at) + rows) <= self.threshold.take(at)
+            at = sides.take(2 * at + left)
+        return at
 
     def depth(self) -> int:
         level = np.zeros(len(self.left), np.int64)
@@ -55,8 +64,11 @@ class TreeEnsemble:
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
-        for t in self.trees:
-            out += t.value[t.leaves(x)]
+        for lo in range(0, len(x), BLOCK_ROWS):
+            xt = np.ascontiguousarray(x[lo:lo + BLOCK_ROWS].T, dtype=float)
+            part, rows = out[lo:lo + BLOCK_ROWS], np.arange(xt.shape[1])
+            for t in self.trees:
+                part += t.value.take(t.reached(xt, rows))
         return out
 
     def probability(self, x: np.ndarray) -> np.ndarray:

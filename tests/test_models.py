@@ -1,6 +1,7 @@
 """Training, calibration, persistence (intent of the original training tests)."""
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,43 @@ def test_batch_job_publishes_or_discards(trained, raw_df, tmp_path):
     assert raw.sparkSession.read.parquet(path).count() == 200
     again, summary = batch_score_job(raw.where("ID <= 50"), trained.booster, path)
     assert again.count() == 50 and summary.agg(F.sum("n_records")).first()[0] == 50 and [p.name for p in tmp_path.iterdir()] == ["scored"]
+
+
+def test_rows_walk_the_trees_as_one_by_one_and_faster():
+    import time
+
+    from ledgerscope.operators.trees import Tree, TreeEnsemble
+
+    def grown(rng, depth):
+        left, right, feature, threshold, todo = [-1], [-1], [0], [0.0], [(0, 0)]
+        while todo:
+            n, d = todo.pop()
+            if d < depth and (d < 2 or rng.random() < 0.9):
+                feature[n], threshold[n] = int(rng.integers(0, 6)), float(rng.normal())
+                left[n], right[n] = len(left), len(left) + 1
+                for col, v in ((left, -1), (right, -1), (feature, 0), (threshold, 0.0)):
+                    col += [v, v]
+                todo += [(left[n], d + 1), (right[n], d + 1)]
+        return Tree(*(np.array(c) for c in (left, right, feature, threshold)), rng.normal(size=len(left)), np.ones(len(left)))
+
+    def walked(t, x):
+        at = np.zeros(len(x), np.int64)
+        while len(inner := np.flatnonzero(t.left[at] >= 0)):
+            node = at[inner]
+            at[inner] = np.where(x[inner, t.feature[node]] <= t.threshold[node], t.left[node], t.right[node])
+        return at
+    rng = np.random.default_rng(5)
+    trees = [grown(rng, d) for d in (0, 1, 5, 8)] + [grown(rng, 5) for _ in range(40)]
+    x = rng.normal(size=(20_000, 6))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[0], x[1] = np.inf, -np.inf
+    for t in trees:
+        assert np.array_equal(t.leaves(x), walked(t, x))
+    start, want = time.perf_counter(), np.zeros(len(x))
+    for t in trees:
+        want += t.value[walked(t, x)]
+    middle = time.perf_counter()
+    got = TreeEnsemble(trees).margin(x)
+    assert time.perf_counter() - middle < 0.8 * (middle - start)
+    assert np.array_equal(got, want)
+    assert TreeEnsemble(trees[:1]).margin(np.zeros((3, 0))).tolist() == [trees[0].value[0]] * 3
