@@ -41,8 +41,10 @@ def explainer(bundle: ModelBundle) -> LinearScorer | Explainer | None:
 
 
 def _tree_pass(df: DataFrame, exp: Explainer, features: list[str], n: int) -> DataFrame:
-    """df with p_raw and drivers (unrounded), largest attribution first, ties in feature order."""
-    schema = T.StructType([*df.schema.fields, T.StructField("p_raw", T.DoubleType()),
+    """df without the features, with p_raw and drivers (unrounded), largest attribution first, ties in
+    feature order. Python gets each feature once, as a number, and does not send it back."""
+    kept = [f for f in df.schema.fields if f.name not in features]
+    schema = T.StructType([*kept, T.StructField("p_raw", T.DoubleType()),
                            T.StructField("drivers", T._parse_datatype_string(DRIVER))])
     held, n = df.sparkSession.sparkContext.broadcast(exp), min(n, len(features))
     wide = [F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]
@@ -61,7 +63,7 @@ def _tree_pass(df: DataFrame, exp: Explainer, features: list[str], n: int) -> Da
             drivers = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * n, pa.int32()), item)
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(schema) - 2], pa.array(1.0 / (1.0 + np.exp(-margin))), drivers],
                                              names=schema.names)
-    return df.select("*", *wide).mapInArrow(run, schema)
+    return df.select(*[f.name for f in kept], *wide).mapInArrow(run, schema)
 
 
 def score_with_drivers(df_raw: DataFrame, bundle: ModelBundle, n: int = TOP_DRIVERS, prefix: str = "__raw_") -> DataFrame:

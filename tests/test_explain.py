@@ -79,3 +79,17 @@ def test_late_payer_scores_no_lower(spark, raw_df):
     by = {r.ID: r for r in score_with_drivers(two, bundle).collect()}
     assert by[2].risk_score > by[1].risk_score
     assert by[2].top_drivers[0].feature == "max_delinquency" and np.sign(by[2].top_drivers[0].shap_value) == 1
+
+
+def test_features_go_to_python_once(spark):
+    """Features are not carried through the TreeSHAP pass beside the numbers made of them."""
+    from ledgerscope.operators.explain import _tree_pass
+    from ledgerscope.operators.trees import Tree, TreeEnsemble
+    from ledgerscope.operators.treeshap import Explainer
+    tree = Tree(*(np.array(v) for v in ([1, -1, -1], [2, -1, -1], [1, 0, 0])), np.array([2.5, 0.0, 0.0]), np.array([0.0, -1.0, 3.0]), np.array([4.0, 3.0, 1.0]))
+    df = spark.createDataFrame([(7, 1, 9.0, "x"), (8, 2, None, None)], "id int, a int, b double, c string")
+    got = _tree_pass(df, Explainer(TreeEnsemble([tree]), 2), ["a", "b"], 1)
+    assert got.columns == ["id", "c", "p_raw", "drivers"]
+    rows = got.orderBy("id").collect()
+    assert [(r["id"], r["c"], r["drivers"][0]["feature"], r["drivers"][0]["feature_value"]) for r in rows] == [(7, "x", "b", 9.0), (8, None, "b", None)]
+    assert all(r["p_raw"] == 1 / (1 + np.exp(-3.0)) for r in rows)
